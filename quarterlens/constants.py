@@ -49,3 +49,7 @@ FIXTURE_TIER_BOUNDS = (300000.0, 450000.0)  # o_totalprice: < Starter, < Growth,
 FIXTURE_CHURN_MODULUS = 10  # o_orderkey % 10 = 0 -> churned
 FIXTURE_MISSING_TIER = (31, 97)  # (o_custkey*31 + year*12 + month) % 97 = 0 -> NULL tier
 FIXTURE_MRR_NOISE = (7, 21, 90)  # mrr = price * (90 + (o_custkey*7 + year*12 + month) % 21) / 100
+# Quarter of the single-quarter verified query; the fixture calendar runs
+# FY1996-Q1 .. FY2002-Q2, and Q3 of FY1999 (Aug-Oct 1998) stands in for the
+# original's "bad quarter" Q3.
+FIXTURE_VERIFIED_QUARTER = "FY1999-Q3"
