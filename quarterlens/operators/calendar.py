@@ -13,6 +13,8 @@ size bound behind broadcasting it.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,8 +50,8 @@ def fiscal_calendar(spark: SparkSession, start: str = DEFAULT_CALENDAR_START,
                     months: int = DEFAULT_CALENDAR_MONTHS,
                     fy_start_month: int = FISCAL_YEAR_START_MONTH) -> DataFrame:
     """``months`` consecutive months from ``start`` (0-based offsets)."""
-    if not 0 < months <= MAX_CALENDAR_MONTHS:
-        raise ValueError(f"months must be in 1..{MAX_CALENDAR_MONTHS}")
+    if not 0 <= months <= MAX_CALENDAR_MONTHS:
+        raise ValueError(f"months must be in 0..{MAX_CALENDAR_MONTHS}")
     gen = spark.range(months).select(
         F.add_months(F.to_date(F.lit(start)), F.col("id").cast("int")).alias("month_date"))
     return _label(gen, fy_start_month)
@@ -77,6 +79,39 @@ def fiscal_calendar_for(df: DataFrame, date_col: str | Column,
     return _label(months, fy_start_month)
 
 
+def _add_months(d: datetime.date, n: int) -> datetime.date:
+    k = d.year * 12 + (d.month - 1) + n
+    return datetime.date(k // 12, k % 12 + 1, 1)
+
+
+def month_range(df: DataFrame, date_col: str | Column
+                ) -> tuple[datetime.date | None, datetime.date | None]:
+    """First and last month of ``date_col``: one two-value aggregate."""
+    c = F.col(date_col) if isinstance(date_col, str) else date_col
+    lo, hi = df.agg(month_start(F.min(c)), month_start(F.max(c))).first()
+    return lo, hi
+
+
+def calendar_span(df: DataFrame | None, date_col: str | Column | None = None,
+                  fy_start_month: int = FISCAL_YEAR_START_MONTH,
+                  months_seen: tuple[datetime.date | None, datetime.date | None] | None = None
+                  ) -> tuple[str, int]:
+    """(first month, month count) of the complete fiscal quarters in the data.
+
+    Same rule as ``fiscal_calendar_for`` but resolved with one two-value
+    aggregate (or a given ``months_seen`` range), so the calendar can be
+    generated as a tiny ``range`` and the plans that broadcast it carry no
+    scan of the data.
+    """
+    lo, hi = months_seen if months_seen is not None else month_range(df, date_col)
+    if lo is None:
+        return DEFAULT_CALENDAR_START, 0
+    first = _add_months(lo, (3 - (lo.month - fy_start_month) % 12 % 3) % 3)
+    last = _add_months(hi, -(((hi.month - fy_start_month) % 12 % 3 + 1) % 3))
+    months = (last.year - first.year) * 12 + last.month - first.month + 1
+    return first.isoformat(), max(months, 0)
+
+
 def quarter_end_months(cal: DataFrame) -> DataFrame:
     """(fiscal_quarter, quarter_end_month): the calendar's last month of each quarter."""
     return cal.groupBy("fiscal_quarter").agg(F.max("month_date").alias("quarter_end_month"))

@@ -8,17 +8,21 @@ may still hold a large share of a table.  ``previous_value`` and
 calendar year of ``t``):
 
 1. the window runs per (key, bucket) -- a hot key is spread over many tasks;
-2. a group-by with map-side combine keeps the last (first) value of every
-   (key, bucket) -- one row per key and bucket;
+2. the last row of every (key, bucket) in window order carries the value to
+   hand over -- one row per key and bucket;
 3. a window over that small table hands each bucket the neighbouring
    bucket's boundary value (row-based: empty buckets are skipped, exactly
    like a row-based LAG);
-4. only the boundary row of each bucket is joined with it, the other rows
-   pass through untouched.
+4. that small table is joined back on (key, bucket) -- the side the window
+   produced is already partitioned that way, so only the small side moves --
+   and the first row of each bucket takes the handed-over value.
 
 The result equals the plain window row for row as long as ``t`` orders the
 rows of a key totally (the same condition that makes LAG deterministic).
-Pass ``bucket=False`` to get the plain one-shuffle window.
+Pass ``bucket=False`` to get the plain one-shuffle window: the right choice
+when the rows per key are bounded by construction (one row per key and
+month, as after a group-by on both), where it costs no extra shuffle at all
+if the input is already partitioned by the key.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 _B = "__bucket"
 _EDGE = "__edge"
 _NEIGHBOUR = "__neighbour"
+_TAIL = "__tail_row"
 
 
 def _default_bucket(order_col: str) -> Column:
@@ -42,24 +47,26 @@ def _shift(df: DataFrame, key: str, order_col: str, value_col: str, out_col: str
         w = Window.partitionBy(key).orderBy(order)
         return df.withColumn(out_col, F.lag(value_col).over(w))
     bucket_col = _default_bucket(order_col) if bucket is None or bucket is True else bucket
-    withb = df.withColumn(_B, bucket_col)
     w = Window.partitionBy(key, _B).orderBy(order)
-    inner = (withb.withColumn(out_col, F.lag(value_col).over(w))
-             .withColumn(_EDGE, F.row_number().over(w) == 1))
-    # Boundary value of every (key, bucket): last row for LAG, first for LEAD.
-    pick = F.max_by if backwards else F.min_by
-    tails = withb.groupBy(key, _B).agg(pick(F.col(value_col), F.col(order_col)).alias("__tail"))
+    # One shuffle of the full input; both branches below read the same
+    # exchange (Spark reuses it), so the input is computed and shuffled once.
+    inner = (df.withColumn(_B, bucket_col)
+             .repartition(key, _B)  # never inherit a coarser per-key partitioning
+             .withColumn(out_col, F.lag(value_col).over(w))
+             .withColumn(_EDGE, F.row_number().over(w) == 1)
+             .withColumn(_TAIL, F.lead(F.lit(1)).over(w).isNull()))
+    # Boundary value of every (key, bucket): its last row in window order.
+    tails = inner.where(F.col(_TAIL)).select(key, _B, F.col(value_col).alias("__tail"))
     bucket_order = F.col(_B).asc() if backwards else F.col(_B).desc()
     handoff = tails.select(
         key, _B,
         F.lag("__tail").over(Window.partitionBy(key).orderBy(bucket_order)).alias(_NEIGHBOUR))
-    cols = df.columns + [out_col]
-    edges = (inner.where(F.col(_EDGE)).drop(out_col)
-             .join(handoff, [key, _B], "left")
-             .withColumnRenamed(_NEIGHBOUR, out_col)
-             .select(*cols))
-    middle = inner.where(~F.col(_EDGE)).select(*cols)
-    return middle.unionByName(edges)
+    # The window output is already hash-partitioned by (key, bucket), so this
+    # join only shuffles the small hand-off table; no second pass of the input.
+    joined = inner.join(handoff, [key, _B], "left")
+    return joined.select(
+        *df.columns,
+        F.when(F.col(_EDGE), F.col(_NEIGHBOUR)).otherwise(F.col(out_col)).alias(out_col))
 
 
 def previous_value(df: DataFrame, key: str, order_col: str, value_col: str, out_col: str,

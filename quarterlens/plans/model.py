@@ -40,19 +40,41 @@ class RevenueModel:
     raw_subscriptions: DataFrame
     raw_invoices: DataFrame
     raw_usage_events: DataFrame
-    calendar_source: DataFrame | None = None  # frame whose months span the calendar
+    # Frame whose date range spans the calendar (complete fiscal quarters);
+    # None -> the model's default fixed calendar.
+    calendar_source: DataFrame | None = None
     calendar_column: str = "month"
+    # Bronze tables supplied from outside carry no grain guarantee (the
+    # original never tests customer-month uniqueness), so movements use the
+    # bucketed, skew-safe LAG by default.
     skew_safe: bool = True
 
     @classmethod
-    def from_driver(cls, spark: SparkSession, sf_dir: str, skew_safe: bool = True
+    def from_driver(cls, spark: SparkSession, sf_dir: str, skew_safe: bool = False
                     ) -> RevenueModel:
-        bronze = driver.read_bronze(spark, sf_dir)
-        orders = driver.read_table(spark, sf_dir, "orders", "o_orderdate")
-        return cls(spark, bronze["raw_customers"], bronze["raw_subscriptions"],
-                   bronze["raw_invoices"], bronze["raw_usage_events"],
-                   calendar_source=orders, calendar_column="o_orderdate",
-                   skew_safe=skew_safe)
+        """Model over the driver tables.
+
+        The subscriptions derived here have one row per customer and month by
+        construction (a group-by on both, then disjoint month ranges), so a
+        customer holds at most one row per month of history however skewed
+        the orders are; the plain LAG is bounded and reuses the customer
+        partitioning the snapshot step already produced (no extra shuffle).
+        """
+        tables = driver.DriverTables(spark, sf_dir)
+        orders = tables("orders", "o_orderdate")
+        # One tiny aggregate gives both the calendar span and the snapshot
+        # period end (the last order month), so neither is recomputed inside
+        # the big plans.
+        seen = calendar.month_range(orders, "o_orderdate")
+        period_end = seen[1].isoformat() if seen[1] is not None else None
+        bronze = driver.read_bronze(tables, period_end=period_end)
+        model = cls(spark, bronze["raw_customers"], bronze["raw_subscriptions"],
+                    bronze["raw_invoices"], bronze["raw_usage_events"],
+                    calendar_source=orders, calendar_column="o_orderdate",
+                    skew_safe=skew_safe)
+        model.__dict__["calendar"] = calendar.fiscal_calendar(
+            spark, *calendar.calendar_span(None, months_seen=seen))
+        return model
 
     # --- silver ----------------------------------------------------------
     @cached_property
@@ -77,7 +99,8 @@ class RevenueModel:
     def calendar(self) -> DataFrame:
         if self.calendar_source is None:
             return calendar.fiscal_calendar(self.spark)
-        return calendar.fiscal_calendar_for(self.calendar_source, self.calendar_column)
+        start, months = calendar.calendar_span(self.calendar_source, self.calendar_column)
+        return calendar.fiscal_calendar(self.spark, start, months)
 
     @cached_property
     def monthly_arr(self) -> DataFrame:

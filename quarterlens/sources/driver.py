@@ -30,13 +30,53 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
                  "conversations")
 
+# Declared schemas of the driver tables the model reads: no footer sampling at
+# read time, and a changed file type fails loudly instead of drifting.
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                "c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+}
+
+
+class DriverTables:
+    """Reads each driver table once (declared schema) and hands out
+    projections; Catalyst pushes each projection into the parquet scan."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
+
+    def __call__(self, name: str, *columns: str) -> DataFrame:
+        if name not in DRIVER_TABLES:
+            raise ValueError(f"unknown driver table {name!r}")
+        if name not in self._frames:
+            reader = self.spark.read
+            if name in DRIVER_SCHEMAS:
+                reader = reader.schema(DRIVER_SCHEMAS[name])
+            self._frames[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self._frames[name]
+        return df.select(*columns) if columns else df
+
+
+def _tables(spark_or_tables, sf_dir: str | None) -> DriverTables:
+    if isinstance(spark_or_tables, DriverTables):
+        return spark_or_tables
+    return DriverTables(spark_or_tables, sf_dir)
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Read one driver table, optionally projecting columns right at the scan."""
-    if name not in DRIVER_TABLES:
-        raise ValueError(f"unknown driver table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    return DriverTables(spark, sf_dir)(name, *columns)
 
 
 def fixture_tier(totalprice: Column) -> Column:
@@ -46,7 +86,8 @@ def fixture_tier(totalprice: Column) -> Column:
             .otherwise(F.lit("Enterprise")))
 
 
-def subscription_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def subscription_changes(spark: SparkSession | DriverTables, sf_dir: str | None = None
+                         ) -> DataFrame:
     """One plan change per (customer, month): the month's last order.
 
     Columns: customer_id, change_month, tier, status.
@@ -54,8 +95,8 @@ def subscription_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     hash aggregate with map-side combine: a customer with a huge number of
     orders is reduced before the shuffle instead of landing in one task.
     """
-    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate",
-                        "o_totalprice")
+    orders = _tables(spark, sf_dir)("orders", "o_orderkey", "o_custkey", "o_orderdate",
+                                    "o_totalprice")
     last = (
         orders
         .groupBy(F.col("o_custkey").alias("customer_id"),
@@ -71,19 +112,24 @@ def subscription_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def monthly_snapshots(changes: DataFrame, period_end: str | None = None) -> DataFrame:
+def monthly_snapshots(changes: DataFrame, period_end: str | None = None,
+                      null_tiers: bool = True) -> DataFrame:
     """Subscription change log -> one subscription row per customer and month.
 
     A churned change lasts one month (the customer is then silent until the
     next change); any other change lasts until the month before the
     customer's next change, the last one until ``period_end`` (default: the
     latest change month in the data).  Intervals are expanded with
-    ``explode(sequence(...))``; the next change comes from a skew-safe lead.
+    ``explode(sequence(...))``; the next change comes from a LEAD window.
 
     Output is the raw subscription table: subscription_id, customer_id,
-    month, plan_tier, mrr, status.
+    month, plan_tier, mrr, status.  ``null_tiers=False`` skips the fixture's
+    missing-tier rule (used to show the bridge closes without it).
     """
-    spans = next_value(changes, "customer_id", "change_month", "change_month", "next_change")
+    # Changes are unique per (customer, month), so one customer has at most
+    # one row per month of history: the plain window's groups are bounded.
+    spans = next_value(changes, "customer_id", "change_month", "change_month", "next_change",
+                       bucket=False)
     if period_end is None:
         # Uncorrelated scalar subquery: evaluated once, then used as a literal.
         end_col = changes.select(F.max("change_month")).scalar()
@@ -101,8 +147,10 @@ def monthly_snapshots(changes: DataFrame, period_end: str | None = None) -> Data
     ym = F.year("month").cast("bigint") * 12 + F.month("month")
     tier_mult, tier_mod = FIXTURE_MISSING_TIER
     mrr_mult, mrr_mod, mrr_base = FIXTURE_MRR_NOISE
-    plan_tier = F.when((k * tier_mult + ym) % tier_mod == 0, F.lit(None).cast("string")) \
-        .otherwise(F.col("tier"))
+    plan_tier = F.col("tier")
+    if null_tiers:
+        plan_tier = F.when((k * tier_mult + ym) % tier_mod == 0, F.lit(None).cast("string")) \
+            .otherwise(plan_tier)
     # Prices are whole hundreds, so price * (90 + noise) / 100 is an integer:
     # (price / 100) * (90 + noise), all in integer arithmetic.
     hundreds = F.coalesce(
@@ -120,18 +168,19 @@ def monthly_snapshots(changes: DataFrame, period_end: str | None = None) -> Data
     )
 
 
-def bronze_subscriptions(spark: SparkSession, sf_dir: str,
+def bronze_subscriptions(spark: SparkSession | DriverTables, sf_dir: str | None = None,
                          period_end: str | None = None) -> DataFrame:
-    return monthly_snapshots(subscription_changes(spark, sf_dir), period_end)
+    return monthly_snapshots(subscription_changes(_tables(spark, sf_dir)), period_end)
 
 
-def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_customers(spark: SparkSession | DriverTables, sf_dir: str | None = None
+                     ) -> DataFrame:
     """customer_id, signup_date (first order), region (via nation), initial_plan_tier."""
-    customer = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    nation = read_table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
-    region = read_table(spark, sf_dir, "region", "r_regionkey", "r_name")
-    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate",
-                        "o_totalprice")
+    t = _tables(spark, sf_dir)
+    customer = t("customer", "c_custkey", "c_nationkey")
+    nation = t("nation", "n_nationkey", "n_regionkey")
+    region = t("region", "r_regionkey", "r_name")
+    orders = t("orders", "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     first = (orders.groupBy(F.col("o_custkey").alias("c_custkey"))
              .agg(F.min(F.struct("o_orderdate", "o_orderkey", "o_totalprice")).alias("o")))
     # nation/region are fixed-size TPC-H dimensions (25 / 5 rows): Spark's own
@@ -154,16 +203,18 @@ def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 INVOICE_TIE_BREAK = "source_order"
 
 
-def bronze_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_invoices(spark: SparkSession | DriverTables, sf_dir: str | None = None
+                    ) -> DataFrame:
     """Raw invoices from lineitem x orders; the key repeats, copies differ.
 
     Besides the five model columns the frame carries ``source_order``, a
     struct (extended price, part key, supplier key) that makes "keep the
     first copy" a total order.
     """
-    li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate",
-                    "l_extendedprice", "l_partkey", "l_suppkey")
-    orders = read_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    t = _tables(spark, sf_dir)
+    li = t("lineitem", "l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice",
+           "l_partkey", "l_suppkey")
+    orders = t("orders", "o_orderkey", "o_custkey", "o_orderdate")
     return li.join(orders, li.l_orderkey == orders.o_orderkey).select(
         F.concat(F.lit("INV-"), F.col("l_orderkey").cast("string"), F.lit("-"),
                  F.col("l_linenumber").cast("string")).alias("invoice_id"),
@@ -175,8 +226,9 @@ def bronze_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events", "event_id", "user_id", "ts", "event_type")
+def bronze_usage_events(spark: SparkSession | DriverTables, sf_dir: str | None = None
+                        ) -> DataFrame:
+    ev = _tables(spark, sf_dir)("events", "event_id", "user_id", "ts", "event_type")
     return ev.select(
         F.col("event_id"),
         F.col("user_id").alias("customer_id"),
@@ -185,11 +237,13 @@ def bronze_usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def read_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def read_bronze(spark: SparkSession | DriverTables, sf_dir: str | None = None,
+                period_end: str | None = None) -> dict[str, DataFrame]:
     """The four declared bronze sources, as lazy DataFrames."""
+    t = _tables(spark, sf_dir)
     return {
-        "raw_customers": bronze_customers(spark, sf_dir),
-        "raw_subscriptions": bronze_subscriptions(spark, sf_dir),
-        "raw_invoices": bronze_invoices(spark, sf_dir),
-        "raw_usage_events": bronze_usage_events(spark, sf_dir),
+        "raw_customers": bronze_customers(t),
+        "raw_subscriptions": bronze_subscriptions(t, period_end=period_end),
+        "raw_invoices": bronze_invoices(t),
+        "raw_usage_events": bronze_usage_events(t),
     }
