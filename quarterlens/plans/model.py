@@ -10,7 +10,7 @@ also cuts the lineage for everything downstream.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,21 +33,65 @@ GOLD_MARTS = ("dim_fiscal_calendar", "dim_customers", "fct_arr_movements",
               "fct_revenue_waterfall", "fct_nrr_cohorts")
 
 
-@dataclass
+BRONZE = ("raw_customers", "raw_subscriptions", "raw_invoices", "raw_usage_events")
+
+
 class RevenueModel:
-    spark: SparkSession
-    raw_customers: DataFrame
-    raw_subscriptions: DataFrame
-    raw_invoices: DataFrame
-    raw_usage_events: DataFrame
-    # Frame whose date range spans the calendar (complete fiscal quarters);
-    # None -> the model's default fixed calendar.
-    calendar_source: DataFrame | None = None
-    calendar_column: str = "month"
-    # Bronze tables supplied from outside carry no grain guarantee (the
-    # original never tests customer-month uniqueness), so movements use the
-    # bucketed, skew-safe LAG by default.
-    skew_safe: bool = True
+    """Lazy revenue model over four bronze tables.
+
+    ``bronze`` maps each of BRONZE to a DataFrame, or to a zero-argument
+    callable building it on first use (so a query that needs one table
+    never plans the others).
+    """
+
+    def __init__(self, spark: SparkSession,
+                 bronze: Mapping[str, DataFrame | Callable[[], DataFrame]],
+                 calendar_source: DataFrame | None = None,
+                 calendar_column: str = "month",
+                 skew_safe: bool = True):
+        missing = set(BRONZE) - set(bronze)
+        if missing:
+            raise ValueError(f"missing bronze tables: {sorted(missing)}")
+        self.spark = spark
+        self.bronze = dict(bronze)
+        # Frame whose date range spans the calendar (complete fiscal quarters);
+        # None -> the model's default fixed calendar.
+        self.calendar_source = calendar_source
+        self.calendar_column = calendar_column
+        # Bronze tables supplied from outside carry no grain guarantee (the
+        # original never tests customer-month uniqueness), so movements use the
+        # bucketed, skew-safe LAG by default.
+        self.skew_safe = skew_safe
+
+    def _raw(self, name: str) -> DataFrame:
+        src = self.bronze[name]
+        if callable(src) and not isinstance(src, DataFrame):
+            src = self.bronze[name] = src()
+        return src
+
+    @property
+    def raw_customers(self) -> DataFrame:
+        return self._raw("raw_customers")
+
+    @property
+    def raw_subscriptions(self) -> DataFrame:
+        return self._raw("raw_subscriptions")
+
+    @property
+    def raw_invoices(self) -> DataFrame:
+        return self._raw("raw_invoices")
+
+    @property
+    def raw_usage_events(self) -> DataFrame:
+        return self._raw("raw_usage_events")
+
+    def with_bronze(self, **replace: DataFrame) -> RevenueModel:
+        """A fresh model sharing this one's inputs except the replaced tables."""
+        model = RevenueModel(self.spark, {**self.bronze, **replace}, self.calendar_source,
+                             self.calendar_column, self.skew_safe)
+        if "calendar" in self.__dict__:  # a resolved calendar stays valid
+            model.__dict__["calendar"] = self.__dict__["calendar"]
+        return model
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, skew_safe: bool = False
@@ -67,10 +111,14 @@ class RevenueModel:
         # the big plans.
         seen = calendar.month_range(orders, "o_orderdate")
         period_end = seen[1].isoformat() if seen[1] is not None else None
-        bronze = driver.read_bronze(tables, period_end=period_end)
-        model = cls(spark, bronze["raw_customers"], bronze["raw_subscriptions"],
-                    bronze["raw_invoices"], bronze["raw_usage_events"],
-                    calendar_source=orders, calendar_column="o_orderdate",
+        bronze = {
+            "raw_customers": lambda: driver.bronze_customers(tables),
+            "raw_subscriptions": lambda: driver.bronze_subscriptions(tables,
+                                                                     period_end=period_end),
+            "raw_invoices": lambda: driver.bronze_invoices(tables),
+            "raw_usage_events": lambda: driver.bronze_usage_events(tables),
+        }
+        model = cls(spark, bronze, calendar_source=orders, calendar_column="o_orderdate",
                     skew_safe=skew_safe)
         model.__dict__["calendar"] = calendar.fiscal_calendar(
             spark, *calendar.calendar_span(None, months_seen=seen))
@@ -189,9 +237,7 @@ class RevenueModel:
         replaying the whole lineage.
         """
         monthly = self.monthly_arr.checkpoint(eager=True)
-        built = RevenueModel(self.spark, self.raw_customers, self.raw_subscriptions,
-                             self.raw_invoices, self.raw_usage_events,
-                             self.calendar_source, self.calendar_column, self.skew_safe)
+        built = self.with_bronze()
         cal_path = marts.mart_path(root, "dim_fiscal_calendar")
         marts.write_mart(self.calendar, cal_path)
         built.__dict__["calendar"] = marts.read_mart(self.spark, cal_path)

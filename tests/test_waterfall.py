@@ -48,8 +48,7 @@ def test_bridge_residual_is_zero_without_missing_tiers(spark):
     t = driver.DriverTables(spark, SF_MID)
     full = driver.monthly_snapshots(driver.subscription_changes(t), null_tiers=False)
     base = RevenueModel.from_driver(spark, SF_MID)
-    m = RevenueModel(spark, base.raw_customers, full, base.raw_invoices, base.raw_usage_events,
-                     base.calendar_source, base.calendar_column, skew_safe=False)
+    m = base.with_bronze(raw_subscriptions=full)
     chk = waterfall.bridge_check(m.waterfall).orderBy("fiscal_quarter").collect()
     assert all(r.residual_arr == 0 for r in chk[1:])
 
