@@ -44,6 +44,12 @@ def close_summary(waterfall: DataFrame) -> DataFrame:
     )
 
 
+def waterfall_summary(waterfall: DataFrame) -> DataFrame:
+    """The summary table of the revenue page: eight waterfall columns."""
+    return waterfall.select("fiscal_quarter", "beginning_arr", "new_arr", "expansion_arr",
+                            "contraction_arr", "churn_arr", "ending_arr", "qoq_growth_pct")
+
+
 def close_nrr(nrr: DataFrame) -> DataFrame:
     """NRR tab: cohorts measured in each quarter."""
     return nrr.select("fiscal_quarter", "cohort_quarter", "cohort_starting_arr",

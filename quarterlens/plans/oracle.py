@@ -427,6 +427,10 @@ TAILS: dict[str, str] = {
                coalesce(qoq_growth_pct, 0.0) AS qoq_growth_pct,
                churn_arr, expansion_arr
         FROM waterfall""",
+    "waterfall_summary": """
+        SELECT fiscal_quarter, beginning_arr, new_arr, expansion_arr, contraction_arr,
+               churn_arr, ending_arr, qoq_growth_pct
+        FROM waterfall ORDER BY fiscal_quarter""",
     "close_nrr": """
         SELECT fiscal_quarter, cohort_quarter, cohort_starting_arr, cohort_current_arr, nrr_pct
         FROM nrr_cohorts ORDER BY fiscal_quarter, cohort_quarter""",

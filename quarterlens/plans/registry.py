@@ -61,6 +61,8 @@ QUERIES: dict[str, Query] = {
     "movement_detail": _q(lambda m: reporting.movement_detail(m.arr_movements)
                           .orderBy("fiscal_quarter", F.col("arr_delta").desc())),
     "close_summary": _q(lambda m: reporting.close_summary(m.waterfall)),
+    "waterfall_summary": _q(lambda m: reporting.waterfall_summary(m.waterfall)
+                            .orderBy("fiscal_quarter")),
     "close_nrr": _q(lambda m: reporting.close_nrr(m.nrr_cohorts)
                     .orderBy("fiscal_quarter", "cohort_quarter")),
     "arr_bridge": _q(lambda m: reporting.arr_bridge(m.waterfall)),

@@ -77,3 +77,12 @@ def test_build_writes_gold_and_reads_back(spark):
         assert os.path.isdir(os.path.join(root, "gold", name))
     assert sorted(built.waterfall.collect()) == sorted(m.waterfall.collect())
     assert sorted(built.nrr_cohorts.collect()) == sorted(m.nrr_cohorts.collect())
+
+
+def test_batch_job_end_to_end(spark):
+    from quarterlens.plans import job
+    out = tempfile.mkdtemp(prefix="ql-job-")
+    assert job.main(["--sf-dir", SF, "--out", out]) == 0
+    dq = spark.read.parquet(os.path.join(out, "gold", "dq_results"))
+    assert dq.count() == 23
+    assert os.path.isdir(os.path.join(out, "gold", "close_report", "summary"))
