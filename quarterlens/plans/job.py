@@ -19,6 +19,17 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 
+# Adaptive execution re-plans at runtime: coalesces small shuffle partitions,
+# splits skewed join partitions (a hot order key in lineitem x orders), and
+# turns a join into a broadcast once the real size of a side is known.
+RUNTIME_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def main(argv: list[str] | None = None) -> int:
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(
         os.path.abspath(__file__)))))
@@ -33,6 +44,9 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("quarterlens-gold").getOrCreate()
+    for key, value in RUNTIME_DEFAULTS.items():  # only where the cluster left them unset
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
     model = RevenueModel.from_driver(spark, args.sf_dir).build(args.out)
 

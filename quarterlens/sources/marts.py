@@ -45,7 +45,10 @@ def write_close_report(datasets: Mapping[str, DataFrame], path: str,
     out = {}
     for name, df in datasets.items():
         target = f"{path.rstrip('/')}/{name}"
-        writer = df.write.mode("overwrite").partitionBy("fiscal_quarter").format(fmt)
+        # quarter-level datasets (bounded by #quarters x #cohorts rows):
+        # one task per quarter, so one file per quarter folder
+        writer = (df.repartition("fiscal_quarter").write.mode("overwrite")
+                  .partitionBy("fiscal_quarter").format(fmt))
         if fmt == "csv":
             writer = writer.option("header", "true")
         writer.save(target)
