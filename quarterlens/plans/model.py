@@ -231,23 +231,23 @@ class RevenueModel:
         """Write the five gold marts under ``root/gold`` (full overwrite) and
         return a model whose marts read them back.
 
-        ``monthly_arr`` feeds three marts, so it is checkpointed once to the
-        session's checkpoint folder (shared storage on a cluster) instead of
-        being recomputed; a lost executor then re-reads it rather than
-        replaying the whole lineage.
+        ``stg_subscriptions`` feeds every mart but the calendar, so it is
+        checkpointed once into the session's checkpoint folder (shared
+        storage on a cluster) instead of being recomputed per mart; the
+        checkpoint keeps its customer partitioning, and a lost executor
+        re-reads it rather than replaying the lineage.
         """
-        monthly = self.monthly_arr.checkpoint(eager=True)
+        subs = self.stg_subscriptions.checkpoint(eager=True)
         built = self.with_bronze()
+        built.__dict__["stg_subscriptions"] = subs
         cal_path = marts.mart_path(root, "dim_fiscal_calendar")
         marts.write_mart(self.calendar, cal_path)
         built.__dict__["calendar"] = marts.read_mart(self.spark, cal_path)
-        built.__dict__["monthly_arr"] = monthly
-        steps = [("dim_customers", None), ("arr_movements", None), ("waterfall", None),
-                 ("nrr_cohorts", None)]
-        names = {"dim_customers": "dim_customers", "arr_movements": "fct_arr_movements",
-                 "waterfall": "fct_revenue_waterfall", "nrr_cohorts": "fct_nrr_cohorts"}
-        for attr, part in steps:
-            path = marts.mart_path(root, names[attr])
-            marts.write_mart(getattr(built, attr), path, part)
+        for attr, name in (("dim_customers", "dim_customers"),
+                           ("arr_movements", "fct_arr_movements"),
+                           ("waterfall", "fct_revenue_waterfall"),
+                           ("nrr_cohorts", "fct_nrr_cohorts")):
+            path = marts.mart_path(root, name)
+            marts.write_mart(getattr(built, attr), path)
             built.__dict__[attr] = marts.read_mart(self.spark, path)
         return built
