@@ -2,9 +2,9 @@
 
 A cohort is the set of customers whose signup falls in a fiscal quarter and
 who had positive ARR in that quarter.  The customer-month ARR is aggregated
-once to customer-quarter (sum and max, combined map-side); cohort
-membership, starting ARR and forward ARR are joins on that much smaller
-frame, and every output is at most (#quarters)^2 rows.
+once to customer-quarter (sum, max and quarter-end value); one join with the
+customers' cohort gives membership, forward ARR and starting ARR in a single
+pass, and every output is at most (#quarters)^2 rows.
 """
 
 from __future__ import annotations
@@ -16,12 +16,23 @@ from quarterlens.functions.columns import nrr_band, pct
 from quarterlens.operators.calendar import quarter_end_months
 
 
-def customer_quarters(monthly: DataFrame) -> DataFrame:
-    """customer_id, fiscal_quarter, arr_sum, arr_max over in-calendar months."""
-    return (monthly.where(F.col("fiscal_quarter").isNotNull())
-            .groupBy("customer_id", "fiscal_quarter")
-            .agg(F.sum("tier_arr").cast("bigint").alias("arr_sum"),
-                 F.max("tier_arr").alias("arr_max")))
+def customer_quarters(monthly: DataFrame, cal: DataFrame | None = None) -> DataFrame:
+    """customer_id, fiscal_quarter, arr_sum, arr_max[, arr_qend] over in-calendar months.
+
+    ``arr_qend`` (only when ``cal`` is given) is the ARR of the quarter's last
+    calendar month, NULL when the customer has no row that month.  Grouping by
+    (customer_id, fiscal_quarter) reuses an existing customer partitioning, so
+    on the snapshot pipeline this aggregate needs no shuffle.
+    """
+    known = monthly.where(F.col("fiscal_quarter").isNotNull())
+    aggs = [F.sum("tier_arr").cast("bigint").alias("arr_sum"),
+            F.max("tier_arr").alias("arr_max")]
+    if cal is not None:
+        ends = quarter_end_months(cal).select(F.col("quarter_end_month").alias("__qe"))
+        known = known.join(F.broadcast(ends), F.col("month") == F.col("__qe"), "left")
+        aggs.append(F.sum(F.when(F.col("__qe").isNotNull(), F.col("tier_arr")))
+                    .cast("bigint").alias("arr_qend"))
+    return known.groupBy("customer_id", "fiscal_quarter").agg(*aggs)
 
 
 def cohort_assignment(dim: DataFrame) -> DataFrame:
@@ -30,61 +41,76 @@ def cohort_assignment(dim: DataFrame) -> DataFrame:
             .select("customer_id", F.col("signup_fiscal_quarter").alias("cohort_quarter")))
 
 
-def cohort_members(dim: DataFrame, cust_q: DataFrame) -> DataFrame:
-    """Cohort customers with some month of positive ARR in their own signup
-    quarter (a semi-join, so each customer appears once)."""
-    active = cust_q.where(F.col("arr_max") > 0).select(
-        "customer_id", F.col("fiscal_quarter").alias("cohort_quarter"))
-    return cohort_assignment(dim).join(active, ["customer_id", "cohort_quarter"], "left_semi")
+def cohort_quarters(dim: DataFrame, cust_q: DataFrame) -> DataFrame:
+    """Each cohort customer's quarters from its cohort quarter on, with a membership flag.
+
+    A member had positive ARR in some month of its own signup quarter.  The
+    join is on customer_id only (the quarter test is a residual filter), so
+    the customer-partitioned aggregate stays in place and only the
+    one-row-per-customer side moves; the flag is a window over the same
+    partitioning, bounded by the number of quarters per customer.
+    """
+    joined = (cohort_assignment(dim).join(cust_q, "customer_id")
+              .where(F.col("fiscal_quarter") >= F.col("cohort_quarter")))
+    at_start = (F.col("fiscal_quarter") == F.col("cohort_quarter")) & (F.col("arr_max") > 0)
+    member = F.max(F.when(at_start, F.lit(1)).otherwise(F.lit(0))) \
+        .over(Window.partitionBy("customer_id")) == 1
+    return joined.withColumn("is_member", member)
+
+
+def cohort_members(cohort_q: DataFrame) -> DataFrame:
+    """customer_id, cohort_quarter of the members (one row each: the customer-quarter
+    aggregate has one row per customer and quarter)."""
+    return (cohort_q.where((F.col("fiscal_quarter") == F.col("cohort_quarter"))
+                           & (F.col("arr_max") > 0))
+            .select("customer_id", "cohort_quarter"))
 
 
-def cohort_starting(members: DataFrame, cust_q: DataFrame) -> DataFrame:
-    """Sum of every monthly ARR of the members inside their signup quarter."""
-    at_start = cust_q.select("customer_id", F.col("fiscal_quarter").alias("cohort_quarter"),
-                             "arr_sum")
-    return (members.join(at_start, ["customer_id", "cohort_quarter"])
-            .groupBy("cohort_quarter")
-            .agg(F.sum("arr_sum").cast("bigint").alias("cohort_starting_arr")))
+def cohort_forward(cohort_q: DataFrame, measure: str = "arr_sum") -> DataFrame:
+    """Members' ARR in every quarter at or after their cohort quarter.
+
+    ``measure`` arr_sum sums every month (the model's definition); arr_qend
+    uses quarter-end snapshots, skipping customers without a row that month.
+    """
+    rows = cohort_q.where(F.col("is_member") & F.col(measure).isNotNull())
+    return (rows.groupBy("cohort_quarter", "fiscal_quarter")
+            .agg(F.sum(measure).cast("bigint").alias("cohort_current_arr")))
 
 
-def cohort_forward(members: DataFrame, cust_q: DataFrame) -> DataFrame:
-    """Members' ARR in every quarter at or after their cohort quarter."""
-    return (members.join(cust_q, "customer_id")
-            .where(F.col("fiscal_quarter") >= F.col("cohort_quarter"))
-            .groupBy("cohort_quarter", "fiscal_quarter")
-            .agg(F.sum("arr_sum").cast("bigint").alias("cohort_current_arr")))
+def cohort_starting(forward: DataFrame) -> DataFrame:
+    """Starting ARR of each cohort: its forward value in the cohort quarter itself
+    (the same member rows the model sums for the signup quarter)."""
+    return forward.where(F.col("fiscal_quarter") == F.col("cohort_quarter")).select(
+        "cohort_quarter", F.col("cohort_current_arr").alias("cohort_starting_arr"))
 
 
-def nrr_cohorts(forward: DataFrame, starting: DataFrame) -> DataFrame:
+def nrr_cohorts(forward: DataFrame, pct_name: str = "nrr_pct") -> DataFrame:
     """cohort_quarter, fiscal_quarter, cohort_starting_arr, cohort_current_arr, nrr_pct.
 
-    A cohort with no rows in a quarter has no row there (not 0%).  Both sides
-    are aggregates of at most #quarters^2 rows.
+    The starting ARR is read off the cohort's own row with a window over the
+    forward aggregate (at most #quarters rows per cohort), so the monthly data
+    is aggregated once; a cohort without a starting row has no rows, like the
+    model's inner join, and a cohort with no rows in a quarter has no row
+    there (not 0%).
     """
-    return forward.join(starting, "cohort_quarter").select(
-        "cohort_quarter", "fiscal_quarter", "cohort_starting_arr", "cohort_current_arr",
-        pct("cohort_current_arr", "cohort_starting_arr").alias("nrr_pct"))
+    own = F.col("fiscal_quarter") == F.col("cohort_quarter")
+    start = F.max(F.when(own, F.col("cohort_current_arr"))) \
+        .over(Window.partitionBy("cohort_quarter"))
+    return (forward.withColumn("cohort_starting_arr", start)
+            .where(F.col("cohort_starting_arr").isNotNull())
+            .select("cohort_quarter", "fiscal_quarter", "cohort_starting_arr",
+                    "cohort_current_arr",
+                    pct("cohort_current_arr", "cohort_starting_arr").alias(pct_name)))
 
 
-def nrr_cohorts_qend(members: DataFrame, monthly: DataFrame, cal: DataFrame) -> DataFrame:
+def nrr_cohorts_qend(cohort_q: DataFrame) -> DataFrame:
     """NRR measured on quarter-end snapshots instead of summed months.
 
     Starting ARR = members' ARR at the last month of the cohort quarter;
     current ARR = their ARR at the last month of each later quarter.  Without
     growth this stays at 100%, unlike the summed-months ratio.
     """
-    ends = quarter_end_months(cal).select(F.col("quarter_end_month").alias("month"))
-    at_end = (monthly.join(F.broadcast(ends), "month", "left_semi")
-              .select("customer_id", "fiscal_quarter", "tier_arr"))
-    fwd = (members.join(at_end, "customer_id")
-           .where(F.col("fiscal_quarter") >= F.col("cohort_quarter"))
-           .groupBy("cohort_quarter", "fiscal_quarter")
-           .agg(F.sum("tier_arr").cast("bigint").alias("cohort_current_arr")))
-    start = (fwd.where(F.col("fiscal_quarter") == F.col("cohort_quarter"))
-             .select("cohort_quarter", F.col("cohort_current_arr").alias("cohort_starting_arr")))
-    return fwd.join(start, "cohort_quarter").select(
-        "cohort_quarter", "fiscal_quarter", "cohort_starting_arr", "cohort_current_arr",
-        pct("cohort_current_arr", "cohort_starting_arr").alias("nrr_pct_qend"))
+    return nrr_cohorts(cohort_forward(cohort_q, "arr_qend"), "nrr_pct_qend")
 
 
 # --- reporting views over nrr_cohorts (all at most #quarters^2 rows) ------

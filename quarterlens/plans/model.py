@@ -177,27 +177,31 @@ class RevenueModel:
 
     @cached_property
     def customer_quarters(self) -> DataFrame:
-        return nrr.customer_quarters(self.monthly_arr)
+        return nrr.customer_quarters(self.monthly_arr, self.calendar)
 
     @cached_property
-    def cohort_members(self) -> DataFrame:
-        return nrr.cohort_members(self.dim_customers, self.customer_quarters)
+    def cohort_quarters(self) -> DataFrame:
+        return nrr.cohort_quarters(self.dim_customers, self.customer_quarters)
 
     @cached_property
-    def cohort_starting(self) -> DataFrame:
-        return nrr.cohort_starting(self.cohort_members, self.customer_quarters)
+    def cohort_members(self) -> DataFrame:
+        return nrr.cohort_members(self.cohort_quarters)
 
     @cached_property
     def cohort_forward(self) -> DataFrame:
-        return nrr.cohort_forward(self.cohort_members, self.customer_quarters)
+        return nrr.cohort_forward(self.cohort_quarters)
+
+    @cached_property
+    def cohort_starting(self) -> DataFrame:
+        return nrr.cohort_starting(self.cohort_forward)
 
     @cached_property
     def nrr_cohorts(self) -> DataFrame:
-        return nrr.nrr_cohorts(self.cohort_forward, self.cohort_starting)
+        return nrr.nrr_cohorts(self.cohort_forward)
 
     @cached_property
     def nrr_cohorts_qend(self) -> DataFrame:
-        return nrr.nrr_cohorts_qend(self.cohort_members, self.monthly_arr, self.calendar)
+        return nrr.nrr_cohorts_qend(self.cohort_quarters)
 
     def calendar_quarters(self) -> list[str]:
         """Quarter labels of the calendar, in order (bounded: one per quarter)."""

@@ -15,12 +15,12 @@ def test_partial_quarter_cohort_formula_vs_quarter_end(spark):
     dim = customers.dim_customers(
         staging.stage_customers(spark.createDataFrame(custs, CUST_SCHEMA)), subs, cal)
     monthly = arr.monthly_arr(subs, cal)
-    cq = nrr.customer_quarters(monthly)
-    members = nrr.cohort_members(dim, cq)
-    formula = {r.fiscal_quarter: r.nrr_pct for r in nrr.nrr_cohorts(
-        nrr.cohort_forward(members, cq), nrr.cohort_starting(members, cq)).collect()}
+    cohort_q = nrr.cohort_quarters(dim, nrr.customer_quarters(monthly, cal))
+    assert nrr.cohort_members(cohort_q).count() == 3
+    formula = {r.fiscal_quarter: r.nrr_pct
+               for r in nrr.nrr_cohorts(nrr.cohort_forward(cohort_q)).collect()}
     qend = {r.fiscal_quarter: r.nrr_pct_qend
-            for r in nrr.nrr_cohorts_qend(members, monthly, cal).collect()}
+            for r in nrr.nrr_cohorts_qend(cohort_q).collect()}
     assert formula == {"FY2024-Q1": 100.0, "FY2024-Q2": 150.0}
     assert qend == {"FY2024-Q1": 100.0, "FY2024-Q2": 100.0}
 
