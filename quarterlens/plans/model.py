@@ -11,6 +11,7 @@ also cuts the lineage for everything downstream.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -231,7 +232,7 @@ class RevenueModel:
         return quality.run_all(self.dq_tables())
 
     # --- materialisation -------------------------------------------------
-    def build(self, root: str) -> RevenueModel:
+    def build(self, root: str, concurrent_writes: int = 4) -> RevenueModel:
         """Write the five gold marts under ``root/gold`` (full overwrite) and
         return a model whose marts read them back.
 
@@ -239,7 +240,10 @@ class RevenueModel:
         checkpointed once into the session's checkpoint folder (shared
         storage on a cluster) instead of being recomputed per mart; the
         checkpoint keeps its customer partitioning, and a lost executor
-        re-reads it rather than replaying the lineage.
+        re-reads it rather than replaying the lineage.  The marts are then
+        independent jobs over that checkpoint and are submitted together
+        (``concurrent_writes`` at a time), so short stages of one job overlap
+        with another's instead of leaving executors idle.
         """
         subs = self.stg_subscriptions.checkpoint(eager=True)
         built = self.with_bronze()
@@ -247,11 +251,13 @@ class RevenueModel:
         cal_path = marts.mart_path(root, "dim_fiscal_calendar")
         marts.write_mart(self.calendar, cal_path)
         built.__dict__["calendar"] = marts.read_mart(self.spark, cal_path)
-        for attr, name in (("dim_customers", "dim_customers"),
-                           ("arr_movements", "fct_arr_movements"),
-                           ("waterfall", "fct_revenue_waterfall"),
-                           ("nrr_cohorts", "fct_nrr_cohorts")):
-            path = marts.mart_path(root, name)
-            marts.write_mart(getattr(built, attr), path)
-            built.__dict__[attr] = marts.read_mart(self.spark, path)
+        targets = {"dim_customers": "dim_customers", "arr_movements": "fct_arr_movements",
+                   "waterfall": "fct_revenue_waterfall", "nrr_cohorts": "fct_nrr_cohorts"}
+        frames = {attr: getattr(built, attr) for attr in targets}  # plan on this thread
+        paths = {attr: marts.mart_path(root, name) for attr, name in targets.items()}
+        with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
+            for job in [pool.submit(marts.write_mart, frames[a], paths[a]) for a in targets]:
+                job.result()
+        for attr in targets:
+            built.__dict__[attr] = marts.read_mart(self.spark, paths[attr])
         return built
