@@ -6,9 +6,10 @@ Runs each query over the driver tables in $BENCH_SF_DIR (default
 
 Each timing covers building the plan and executing it completely (a
 ``noop`` write, so no rows travel to the driver).  Every query runs once
-untimed first (JVM code generation and JIT warm-up), then once timed.
-"gold_build" writes the five gold marts to a fresh scratch folder, as the
-nightly rebuild would (timed on its first run).
+untimed first (JVM code generation and JIT warm-up), then RUNS times; the
+median is reported (the machine is shared, single runs vary by +-30%).
+"gold_build" writes the five gold marts to a fresh scratch folder each run,
+as the nightly rebuild would.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import tempfile
 import time
@@ -26,6 +28,8 @@ from quarterlens.plans.model import RevenueModel  # noqa: E402
 from quarterlens.plans.registry import queries  # noqa: E402
 from quarterlens.session import local_session  # noqa: E402
 
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+
 HEADLINE = [
     "waterfall",
     "arr_movements",
@@ -54,16 +58,20 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app_name="quarterlens-bench")
     q = queries()
 
+    def timed(fn) -> float:
+        fn()  # warm-up
+        runs = []
+        for _ in range(RUNS):
+            t0 = time.perf_counter()
+            fn()
+            runs.append(time.perf_counter() - t0)
+        return round(statistics.median(runs), 3)
+
     times: dict[str, float] = {}
     for key in HEADLINE:
-        _run(q[key](spark, sf_dir))  # warm-up
-        t0 = time.perf_counter()
-        _run(q[key](spark, sf_dir))
-        times[key] = round(time.perf_counter() - t0, 3)
-
-    t0 = time.perf_counter()
-    RevenueModel.from_driver(spark, sf_dir).build(tempfile.mkdtemp(prefix="ql-bench-gold-"))
-    times["gold_build"] = round(time.perf_counter() - t0, 3)
+        times[key] = timed(lambda: _run(q[key](spark, sf_dir)))
+    times["gold_build"] = timed(lambda: RevenueModel.from_driver(spark, sf_dir).build(
+        tempfile.mkdtemp(prefix="ql-bench-gold-")))
 
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     print(json.dumps({
@@ -72,6 +80,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
+        "runs": f"median of {RUNS} warm runs",
     }))
     spark.stop()
 

@@ -52,8 +52,11 @@ def fiscal_calendar(spark: SparkSession, start: str = DEFAULT_CALENDAR_START,
     """``months`` consecutive months from ``start`` (0-based offsets)."""
     if not 0 <= months <= MAX_CALENDAR_MONTHS:
         raise ValueError(f"months must be in 0..{MAX_CALENDAR_MONTHS}")
-    gen = spark.range(months).select(
-        F.add_months(F.to_date(F.lit(start)), F.col("id").cast("int")).alias("month_date"))
+    # At most MAX_CALENDAR_MONTHS dates: a local relation, so the labels below
+    # are folded into it by the optimizer and broadcasting it runs no job.
+    first = datetime.date.fromisoformat(start)
+    gen = spark.createDataFrame([(_add_months(first, i),) for i in range(months)],
+                                "month_date DATE")
     return _label(gen, fy_start_month)
 
 
