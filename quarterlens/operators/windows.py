@@ -8,8 +8,8 @@ may still hold a large share of a table.  ``previous_value`` and
 calendar year of ``t``):
 
 1. the window runs per (key, bucket) -- a hot key is spread over many tasks;
-2. the last row of every (key, bucket) in window order carries the value to
-   hand over -- one row per key and bucket;
+2. a map-side-combined ``max_by``/``min_by`` per (key, bucket) takes the
+   value to hand over -- one row per key and bucket;
 3. a window over that small table hands each bucket the neighbouring
    bucket's boundary value (row-based: empty buckets are skipped, exactly
    like a row-based LAG);
@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 _B = "__bucket"
 _EDGE = "__edge"
 _NEIGHBOUR = "__neighbour"
-_TAIL = "__tail_row"
 
 
 def _default_bucket(order_col: str) -> Column:
@@ -47,22 +46,24 @@ def _shift(df: DataFrame, key: str, order_col: str, value_col: str, out_col: str
         w = Window.partitionBy(key).orderBy(order)
         return df.withColumn(out_col, F.lag(value_col).over(w))
     bucket_col = _default_bucket(order_col) if bucket is None or bucket is True else bucket
-    w = Window.partitionBy(key, _B).orderBy(order)
-    # One shuffle of the full input; both branches below read the same
-    # exchange (Spark reuses it), so the input is computed and shuffled once.
-    inner = (df.withColumn(_B, bucket_col)
-             .repartition(key, _B)  # never inherit a coarser per-key partitioning
-             .withColumn(out_col, F.lag(value_col).over(w))
-             .withColumn(_EDGE, F.row_number().over(w) == 1)
-             .withColumn(_TAIL, F.lead(F.lit(1)).over(w).isNull()))
+    withb = df.withColumn(_B, bucket_col)
     # Boundary value of every (key, bucket): its last row in window order.
-    tails = inner.where(F.col(_TAIL)).select(key, _B, F.col(value_col).alias("__tail"))
+    # An aggregate with a map-side step, so a hot key is reduced to one row
+    # per bucket and input partition before its (small) shuffle.
+    pick = F.max_by if backwards else F.min_by
+    tails = withb.groupBy(key, _B).agg(pick(F.col(value_col), F.col(order_col)).alias("__tail"))
     bucket_order = F.col(_B).asc() if backwards else F.col(_B).desc()
     handoff = tails.select(
         key, _B,
         F.lag("__tail").over(Window.partitionBy(key).orderBy(bucket_order)).alias(_NEIGHBOUR))
+    # The only full shuffle: rows move to (key, bucket) partitions, never to a
+    # coarser per-key partitioning inherited from upstream.
+    w = Window.partitionBy(key, _B).orderBy(order)
+    inner = (withb.repartition(key, _B)
+             .withColumn(out_col, F.lag(value_col).over(w))
+             .withColumn(_EDGE, F.row_number().over(w) == 1))
     # The window output is already hash-partitioned by (key, bucket), so this
-    # join only shuffles the small hand-off table; no second pass of the input.
+    # join only moves the small hand-off table.
     joined = inner.join(handoff, [key, _B], "left")
     return joined.select(
         *df.columns,

@@ -91,9 +91,10 @@ def subscription_changes(spark: SparkSession | DriverTables, sf_dir: str | None
     """One plan change per (customer, month): the month's last order.
 
     Columns: customer_id, change_month, tier, status.
-    The "last order" is a max over a struct (order date, order key), i.e. a
-    hash aggregate with map-side combine: a customer with a huge number of
-    orders is reduced before the shuffle instead of landing in one task.
+    The "last order" is a max over a struct (order date, order key, price):
+    an aggregate with a partial (map-side) step, so a customer with a huge
+    number of orders is reduced to one row per month and input partition
+    before the shuffle instead of landing in one task.
     """
     orders = _tables(spark, sf_dir)("orders", "o_orderkey", "o_custkey", "o_orderdate",
                                     "o_totalprice")
