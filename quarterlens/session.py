@@ -42,20 +42,25 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 16,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a scratch one only if unset.
+    """Return the session's checkpoint folder, picking a scratch one only if unset.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; that value
-    always wins.  Only a bare local session (tests) gets a fresh temp folder.
+    A cluster names a shared folder in ``spark.checkpoint.dir`` (a core
+    setting, fixed at start-up); that value always wins.  Only a bare local
+    session without it (tests) gets a fresh temporary folder, set on the
+    context directly since the setting itself cannot change at runtime.
     """
-    configured = spark.conf.get(CHECKPOINT_CONF, None) or \
-        spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    sc = spark.sparkContext
+    configured = sc.getConf().get(CHECKPOINT_CONF, None) or spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    if not sc.master.startswith("local"):
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set; a cluster job needs a shared checkpoint folder")
     folder = tempfile.mkdtemp(prefix="ql-ckpt-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    spark.sparkContext.setCheckpointDir(folder)
+    sc.setCheckpointDir(folder)
     return folder
