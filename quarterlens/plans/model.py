@@ -27,6 +27,7 @@ from quarterlens.operators import (
     staging,
     waterfall,
 )
+from quarterlens.session import ensure_checkpoint_dir
 from quarterlens.sources import driver, marts
 from quarterlens.sources.driver import INVOICE_TIE_BREAK
 
@@ -245,6 +246,7 @@ class RevenueModel:
         (``concurrent_writes`` at a time), so short stages of one job overlap
         with another's instead of leaving executors idle.
         """
+        ensure_checkpoint_dir(self.spark)  # the cluster's shared folder, if it names one
         subs = self.stg_subscriptions.checkpoint(eager=True)
         built = self.with_bronze()
         built.__dict__["stg_subscriptions"] = subs
