@@ -86,3 +86,17 @@ def test_batch_job_end_to_end(spark):
     dq = spark.read.parquet(os.path.join(out, "gold", "dq_results"))
     assert dq.count() == 23
     assert os.path.isdir(os.path.join(out, "gold", "close_report", "summary"))
+
+
+def test_movements_mart_prunes_by_quarter(spark):
+    m = RevenueModel.from_driver(spark, SF)
+    built = m.build(tempfile.mkdtemp(prefix="ql-part-"))
+    one = built.arr_movements.where(F.col("fiscal_quarter") == "FY1997-Q3")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(fiscal_quarter" in plan
+    assert one.count() == m.arr_movements.where(F.col("fiscal_quarter") == "FY1997-Q3").count()
+    # rows outside the calendar keep a NULL quarter through the partitioned write
+    assert built.arr_movements.where(F.col("fiscal_quarter").isNull()).count() == \
+        m.arr_movements.where(F.col("fiscal_quarter").isNull()).count()
+    cols = sorted(built.arr_movements.columns)
+    assert cols == sorted(m.arr_movements.columns)
