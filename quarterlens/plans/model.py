@@ -207,9 +207,10 @@ class RevenueModel:
 
     def calendar_quarters(self) -> list[str]:
         """Quarter labels of the calendar, in order (bounded: one per quarter)."""
-        rows = (self.calendar.select("fiscal_quarter").distinct()
-                .orderBy("fiscal_quarter").collect())
-        return [r[0] for r in rows]
+        # At most MAX_CALENDAR_MONTHS rows; for the generated (local) calendar
+        # this collect runs no Spark job at all.
+        return sorted({r[0] for r in self.calendar.select("fiscal_quarter").collect()
+                       if r[0] is not None})
 
     def close_report(self, fq: str | None = None) -> dict[str, DataFrame]:
         if fq is not None and self.waterfall.where(F.col("fiscal_quarter") == fq).isEmpty():
