@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterlens.constants import FIXTURE_VERIFIED_QUARTER
-from quarterlens.operators import nrr, quality, reporting, semantic, waterfall
+from quarterlens.operators import calendar, nrr, quality, reporting, semantic, waterfall
 from quarterlens.plans.model import RevenueModel
 
 VERIFIED_QUARTER = FIXTURE_VERIFIED_QUARTER
@@ -39,7 +39,10 @@ def _nrr_matrix(m: RevenueModel) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # sources
     "monthly_snapshots": _q(lambda m: m.raw_subscriptions),
-    "fiscal_calendar": _q(lambda m: m.calendar),
+    # The lazy form: its own plan scans the orders' date range (the model
+    # uses the same rule, resolved once, as a broadcastable local table).
+    "fiscal_calendar": _q(lambda m: calendar.fiscal_calendar_for(m.calendar_source,
+                                                                 m.calendar_column)),
     # staging
     "stg_customers": _q(lambda m: m.stg_customers),
     "stg_subscriptions": _q(lambda m: m.stg_subscriptions),
