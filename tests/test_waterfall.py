@@ -62,3 +62,15 @@ def test_yoy_matches_by_label_and_churn_spike(spark):
     assert spikes > 0
     series = waterfall.churn_series(m.waterfall).collect()
     assert all(r.churn_abs >= 0 for r in series)
+
+
+def test_generic_constructor_with_skew_safe_lag_matches(spark):
+    t = driver.DriverTables(spark, "/root/testdata/sf0.001")
+    bronze = driver.read_bronze(t)  # period end from a scalar subquery here
+    orders = t("orders", "o_orderdate")
+    generic = RevenueModel(spark, bronze, calendar_source=orders,
+                           calendar_column="o_orderdate")  # skew-safe by default
+    assert generic.skew_safe
+    ref = RevenueModel.from_driver(spark, "/root/testdata/sf0.001")
+    assert sorted(generic.waterfall.collect()) == sorted(ref.waterfall.collect())
+    assert sorted(generic.nrr_cohorts.collect()) == sorted(ref.nrr_cohorts.collect())
