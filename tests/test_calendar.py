@@ -65,3 +65,38 @@ def test_calendar_month_index_is_integer(spark):
     assert [r[0] for r in nums] == [4, 1, 1, 1, 2, 2, 2, 3, 3, 3, 4, 4]
     assert cal.where(F.col("fiscal_quarter").contains(".")).count() == 0
     assert isinstance(cal.first().month_date, dt.date)
+
+
+def _brute_span(lo, hi, fy_start=2):
+    """All months lo..hi, keep the fiscal quarters whose three months are all inside."""
+    months = []
+    y, m = lo.year, lo.month
+    while (y, m) <= (hi.year, hi.month):
+        months.append(dt.date(y, m, 1))
+        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+    def quarter(d):  # (fiscal year-ish key, quarter index) identifies a quarter
+        idx = (d.month - fy_start) % 12
+        return (d.year - (1 if d.month < fy_start else 0), idx // 3)
+    from collections import Counter
+    full = {q for q, n in Counter(quarter(d) for d in months).items() if n == 3}
+    kept = [d for d in months if quarter(d) in full]
+    return (kept[0].isoformat(), len(kept)) if kept else None
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.dates(min_value=dt.date(1990, 1, 1), max_value=dt.date(2030, 12, 31)),
+       st.integers(min_value=0, max_value=60))
+def test_calendar_span_rule_matches_brute_force(lo, extra_months):
+    lo = lo.replace(day=1)
+    k = lo.year * 12 + lo.month - 1 + extra_months
+    hi = dt.date(k // 12, k % 12 + 1, 1)
+    start, months = calendar.calendar_span(None, months_seen=(lo, hi))
+    want = _brute_span(lo, hi)
+    if want is None:
+        assert months == 0
+    else:
+        assert (start, months) == want
