@@ -77,3 +77,31 @@ def test_movements_match_brute_force(spark, rows, skew_safe):
 
 
 RATES_KINDS = ["new", "reactivation", "expansion", "contraction", "churn"]
+
+
+INV_SCHEMA = ("invoice_id STRING, customer_id BIGINT, invoice_date DATE, period_month DATE, "
+              "amount DECIMAL(12,2), source_order STRUCT<p: DOUBLE, q: BIGINT>")
+
+inv_row = st.tuples(
+    st.sampled_from(["A", "B", "C", "HOT", "HOT", "HOT"]),
+    st.one_of(st.none(), st.sampled_from([dt.date(2023, 2, d) for d in (1, 2, 3)])),
+    st.integers(min_value=0, max_value=3),   # price -> ties are common
+    st.integers(min_value=0, max_value=1000),
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(inv_row, min_size=1, max_size=30,
+                unique_by=lambda r: (r[0], r[2], r[3])))  # the sort key is total
+def test_invoice_dedup_matches_brute_force(spark, rows):
+    from decimal import Decimal
+
+    from quarterlens.operators import staging
+    data = [(i, 7, d, dt.date(2023, 2, 1), Decimal(p), (float(p), q)) for i, d, p, q in rows]
+    got = {r.invoice_id: (r.invoice_date, r.amount) for r in staging.stage_invoices(
+        spark.createDataFrame(data, INV_SCHEMA), ["source_order"]).collect()}
+    want = {}
+    for i, d, p, q in sorted(rows, key=lambda r: (r[1] is None, r[1] or dt.date.min,
+                                                  float(r[2]), r[3])):
+        want.setdefault(i, (d, Decimal(p).quantize(Decimal("0.01"))))
+    assert got == want
