@@ -7,11 +7,14 @@ keys at the depths ``DEPTHS``: the nodes that share a key are one run of the
 order, and the run of the deepest shared key holds the longest-common-prefix
 neighbours.
 
-Candidates come in two steps, both linear in the number of nodes:
+Candidates come in three steps, all linear in the number of nodes:
 
 1. each node meets, of the heads of its runs at all depths, the one it shares
    most runs with.  This contracts copies and dense regions into components;
-2. each run that still spans several components has the pairs between them
+2. each node outside the largest component of one of its runs meets, of the
+   members that stand for those components in its runs, the ``PICKS`` it shares
+   most runs with;
+3. each run that still spans several components has the pairs between them
    compared.  The depth adapts to the region: a run is used at the smallest
    depth at which at most ``MINORS`` of its nodes lie outside its largest
    component, and at the greatest depth whatever its size.  Pairs inside one
@@ -31,7 +34,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterlens.llm.common import materialize
@@ -40,7 +43,8 @@ from quarterlens.llm.textkernel import mix, shingle_set, word_hashes
 
 TREES = 24
 DEPTHS = (4, 6, 8)
-MINORS = 128
+MINORS = 32
+PICKS = 4
 MIN_PERCENT = 75
 
 _rng = np.random.default_rng(20240601)
@@ -138,17 +142,39 @@ def _heads(runs: DataFrame) -> DataFrame:
             .select(F.col("node").alias("a"), (-F.col("best.col2")).alias("b")))
 
 
+def _regions(runs: DataFrame, key: str) -> DataFrame:
+    """The runs that span several components: key, largest component, nodes outside it."""
+    per = runs.groupBy(key, "component").agg(F.count("*").alias("size"))
+    return (per.groupBy(key).agg(F.sum("size").alias("all"), F.count("*").alias("parts"),
+                                 F.max(F.struct("size", "component")).alias("major"))
+            .where("parts > 1")
+            .select(key, F.col("major.component").alias("major"),
+                    (F.col("all") - F.col("major.size")).alias("minors")))
+
+
+def _outsiders(runs: DataFrame) -> DataFrame:
+    """Step 2: nodes outside a run's largest component, with members of it."""
+    votes = None
+    near, far = _similar_sizes("n", "pick_n")
+    for key in _KEYS:
+        spread = runs.join(_regions(runs, key), key)
+        # Any member will do, but not the head that step 1 has tried.
+        picks = (spread.where("component = major").groupBy(key)
+                 .agg(F.min(F.struct(F.xxhash64("node"), "node", "n")).alias("pick")))
+        met = (spread.where("component != major").join(picks, key)
+               .select("node", "n", F.col("pick.node").alias("pick"), F.col("pick.n").alias("pick_n")))
+        votes = met if votes is None else votes.unionByName(met)
+    best = Window.partitionBy("node").orderBy(F.col("count").desc(), "pick")
+    return (votes.where(near & far).groupBy("node", "pick").count()
+            .withColumn("place", F.row_number().over(best)).where(F.col("place") <= PICKS)
+            .select(F.col("node").alias("a"), F.col("pick").alias("b")))
+
+
 def _between(runs: DataFrame) -> DataFrame:
-    """Step 2: pairs of nodes of one run but of different components."""
+    """Step 3: pairs of nodes of one run but of different components."""
     pairs = None
     for key in _KEYS:
-        per = runs.groupBy(key, "component").agg(F.count("*").alias("size"))
-        region = (per.groupBy(key).agg(F.sum("size").alias("all"), F.count("*").alias("parts"),
-                                       F.max(F.struct("size", "component")).alias("major"))
-                  .where("parts > 1")
-                  .select(key, F.col("major.component").alias("major"),
-                          (F.col("all") - F.col("major.size")).alias("minors")))
-        open_runs = materialize(runs.join(region, key), "dedup-region")
+        open_runs = materialize(runs.join(_regions(runs, key), key), "dedup-region")
         ready = open_runs if key == _KEYS[-1] else open_runs.where(F.col("minors") <= MINORS)
         minor = (ready.where("component != major")
                  .select(key, F.col("node").alias("a"), F.col("n").alias("na"),
@@ -163,6 +189,18 @@ def _between(runs: DataFrame) -> DataFrame:
     return pairs.distinct()
 
 
+def _contracted(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``found(node, component)`` merged along further links (a, b)."""
+    of = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    links = (links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+             .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    merged = connected_components(links, "dedup-cc")
+    top = merged.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    old = found.join(top, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    new = merged.join(found.select("node"), "node", "left_anti").select("node", "component")
+    return materialize(old.unionByName(new), "dedup-found")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs(doc_id, text)``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -180,27 +218,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         docs.join(runs.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
         .mapInArrow(_sets, "node long, shingles array<long>"), "dedup-sets")
 
-    first = connected_components(_verified(_heads(runs), sets), "dedup-cc")
-    parts = materialize(runs.join(first.withColumnRenamed("component", "c"), "node", "left")
-                        .select("node", "n", *_KEYS, F.coalesce("c", "node").alias("component")), "dedup-parts")
-    links = _verified(_between(parts), sets)
-    rep = first.select("node", F.col("component").alias("c"))
-    links = (links.join(rep.withColumnRenamed("node", "a").withColumnRenamed("c", "ca"), "a", "left")
-             .join(rep.withColumnRenamed("node", "b").withColumnRenamed("c", "cb"), "b", "left")
-             .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
-    second = connected_components(links, "dedup-cc")
-
-    of_node = (first.select("node", "component")
-               .join(second.select(F.col("node").alias("component"), F.col("component").alias("top")),
-                     "component", "left")
-               .select("node", F.coalesce("top", "component").alias("component"))
-               .unionByName(second.join(first.select("node"), "node", "left_anti").select("node", "component")))
-    of_class = (nodes.select(*classes, "node").join(of_node, "node", "left")
+    found = connected_components(_verified(_heads(runs), sets), "dedup-cc")
+    for candidates in (_outsiders, _between):
+        parts = materialize(runs.join(found.withColumnRenamed("component", "c"), "node", "left")
+                            .select("node", "n", *_KEYS, F.coalesce("c", "node").alias("component")), "dedup-parts")
+        found = _contracted(found, _verified(candidates(parts), sets))
+    of_class = (nodes.select(*classes, "node").join(found, "node", "left")
                 .select(*classes, F.coalesce("component", "node").alias("component_id")))
     ids = profiles.select("doc_id", *classes)
-    found = ids.where("n_shingles > 0 and doc_id is not null").join(of_class, classes)
+    linked = ids.where("n_shingles > 0 and doc_id is not null").join(of_class, classes)
     alone = ids.where("n_shingles = 0 or doc_id is null").withColumn("component_id", F.col("doc_id"))
-    return found.unionByName(alone).select(
+    return linked.unionByName(alone).select(
         "doc_id", "n_shingles", "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
