@@ -22,7 +22,7 @@ Candidates come in three steps, all linear in the number of nodes:
 
 Every link is confirmed on full shingle sets (64-bit hashes of the shingles).
 At a similarity of exactly 0.75 two nodes share no run of depth 4 in any of
-the 24 orders with probability 1e-4; above 0.8 it is below 3e-6.
+the 32 orders with probability 5e-6, and no run of depth 7 with 1e-2 (dense regions only, after the first two steps).
 
 Edge cases: a null, empty or blank text has an empty set and links with
 nothing; rows with equal doc_id count as one document; a row with a null
@@ -41,9 +41,9 @@ from quarterlens.llm.common import materialize
 from quarterlens.llm.components import connected_components
 from quarterlens.llm.textkernel import mix, shingle_set, word_hashes
 
-TREES = 24
-DEPTHS = (4, 6, 8)
-MINORS = 32
+TREES = 32
+DEPTHS = (4, 7, 12)
+MINORS = 16
 PICKS = 4
 MIN_PERCENT = 75
 
