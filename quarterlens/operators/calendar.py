@@ -4,11 +4,11 @@ Columns: month_date, fiscal_year, fiscal_quarter, fiscal_quarter_number,
 calendar_year, calendar_month.
 
 ``fiscal_calendar`` generates a fixed span (the original model: 36 months
-from 2023-02-01).  ``fiscal_calendar_for`` derives the span from data: all
-*complete* fiscal quarters inside the observed month range, lazily, so the
-calendar follows the tables it labels.  Either way the result has one row per
-month of a date range -- a few hundred rows even for centuries -- which is the
-size bound behind broadcasting it.
+from 2023-02-01).  ``fiscal_calendar_for`` derives the span from data: every
+fiscal quarter that holds an observed month, whole, lazily, so the calendar
+follows the tables it labels and no row is left without a quarter.  Either way
+the result has one row per month of a date range; Spark sees its size and
+chooses the join.
 """
 
 from __future__ import annotations
@@ -31,8 +31,6 @@ from quarterlens.functions.columns import (
     month_start,
 )
 
-MAX_CALENDAR_MONTHS = 12 * 200  # size bound for broadcasting the dimension
-
 
 def _label(months: DataFrame, fy_start_month: int) -> DataFrame:
     d = F.col("month_date")
@@ -50,29 +48,28 @@ def fiscal_calendar(spark: SparkSession, start: str = DEFAULT_CALENDAR_START,
                     months: int = DEFAULT_CALENDAR_MONTHS,
                     fy_start_month: int = FISCAL_YEAR_START_MONTH) -> DataFrame:
     """``months`` consecutive months from ``start`` (0-based offsets)."""
-    if not 0 <= months <= MAX_CALENDAR_MONTHS:
-        raise ValueError(f"months must be in 0..{MAX_CALENDAR_MONTHS}")
-    # At most MAX_CALENDAR_MONTHS dates: a local relation, so the labels below
-    # are folded into it by the optimizer and broadcasting it runs no job.
     first = datetime.date.fromisoformat(start)
-    gen = spark.createDataFrame([(_add_months(first, i),) for i in range(months)],
-                                "month_date DATE")
+    index = F.col("id") + F.lit(first.year * 12 + first.month - 1)
+    gen = spark.range(0, max(months, 0), 1, 1).select(_month_of(index).alias("month_date"))
     return _label(gen, fy_start_month)
 
 
+def _month_of(index: Column) -> Column:
+    """The first day of the month with that index (12 * year + month - 1)."""
+    return F.make_date(F.floor(index / 12).cast("int"), (F.pmod(index, F.lit(12)) + 1).cast("int"), F.lit(1))
+
+
 def fiscal_calendar_for(df: DataFrame, date_col: str | Column,
                         fy_start_month: int = FISCAL_YEAR_START_MONTH) -> DataFrame:
-    """Calendar of every complete fiscal quarter within min..max of ``date_col``.
+    """Calendar of every fiscal quarter that min..max of ``date_col`` touches.
 
-    First month: the first quarter start on or after the earliest month.
-    Last month: the last quarter end on or before the latest month.
+    First month: the start of the earliest month's quarter.  Last month: the
+    end of the latest month's quarter.
     """
     c = F.col(date_col) if isinstance(date_col, str) else date_col
     span = df.agg(month_start(F.min(c)).alias("lo"), month_start(F.max(c)).alias("hi"))
-    lo_pos = fiscal_month_index("lo", fy_start_month) % 3
-    hi_pos = fiscal_month_index("hi", fy_start_month) % 3
-    first = F.add_months("lo", ((F.lit(3) - lo_pos) % 3).cast("int"))
-    last = F.add_months("hi", (-((hi_pos + 1) % 3)).cast("int"))
+    first = F.add_months("lo", (-(fiscal_month_index("lo", fy_start_month) % 3)).cast("int"))
+    last = F.add_months("hi", (2 - fiscal_month_index("hi", fy_start_month) % 3).cast("int"))
     months = span.select(first.alias("first"), last.alias("last")).select(
         F.explode(
             F.when(F.col("last") >= F.col("first"),
@@ -82,11 +79,6 @@ def fiscal_calendar_for(df: DataFrame, date_col: str | Column,
     return _label(months, fy_start_month)
 
 
-def _add_months(d: datetime.date, n: int) -> datetime.date:
-    k = d.year * 12 + (d.month - 1) + n
-    return datetime.date(k // 12, k % 12 + 1, 1)
-
-
 def month_range(df: DataFrame, date_col: str | Column
                 ) -> tuple[datetime.date | None, datetime.date | None]:
     """First and last month of ``date_col``: one two-value aggregate."""
@@ -99,7 +91,7 @@ def calendar_span(df: DataFrame | None, date_col: str | Column | None = None,
                   fy_start_month: int = FISCAL_YEAR_START_MONTH,
                   months_seen: tuple[datetime.date | None, datetime.date | None] | None = None
                   ) -> tuple[str, int]:
-    """(first month, month count) of the complete fiscal quarters in the data.
+    """(first month, month count) of the fiscal quarters that the data touches.
 
     Same rule as ``fiscal_calendar_for`` but resolved with one two-value
     aggregate (or a given ``months_seen`` range), so the calendar can be
@@ -109,10 +101,18 @@ def calendar_span(df: DataFrame | None, date_col: str | Column | None = None,
     lo, hi = months_seen if months_seen is not None else month_range(df, date_col)
     if lo is None:
         return DEFAULT_CALENDAR_START, 0
-    first = _add_months(lo, (3 - (lo.month - fy_start_month) % 12 % 3) % 3)
-    last = _add_months(hi, -(((hi.month - fy_start_month) % 12 % 3 + 1) % 3))
-    months = (last.year - first.year) * 12 + last.month - first.month + 1
-    return first.isoformat(), max(months, 0)
+    first = lo.year * 12 + lo.month - 1 - (lo.month - fy_start_month) % 12 % 3
+    last = hi.year * 12 + hi.month - 1 + 2 - (hi.month - fy_start_month) % 12 % 3
+    return f"{first // 12:04d}-{first % 12 + 1:02d}-01", last - first + 1
+
+
+def quarter_labels(start: str, months: int, fy_start_month: int = FISCAL_YEAR_START_MONTH) -> list[str]:
+    """The fiscal quarter labels of a calendar, in order, by the calendar rule alone."""
+    first = datetime.date.fromisoformat(start)
+    index = first.year * 12 + first.month - fy_start_month  # months since the start of a fiscal year
+    # A fiscal year that does not begin in January is named after its end.
+    named = 1 if fy_start_month > 1 else 0
+    return list(dict.fromkeys(f"FY{k // 12 + named}-Q{k % 12 // 3 + 1}" for k in range(index, index + months)))
 
 
 def quarter_end_months(cal: DataFrame) -> DataFrame:

@@ -12,14 +12,15 @@ def customer_activity(subs: DataFrame) -> DataFrame:
     """customer_id, first_active_month, current_status in one aggregate.
 
     first_active_month is min(month) over *all* rows (any status, missing
-    tiers included).  current_status is the status of the latest month
-    (``max_by`` = rank by month descending, NULL months last).  Both are
-    partial aggregates, so a customer with very many rows is combined
+    tiers included).  current_status is the status of the latest month, where
+    a row without a month counts as the latest (the warehouse ranks by month
+    descending, which puts NULLs first) and the greater status wins a tie.
+    Both are partial aggregates, so a customer with very many rows is combined
     map-side.
     """
     return subs.groupBy("customer_id").agg(
         F.min("month").alias("first_active_month"),
-        F.max_by("status", "month").alias("current_status"),
+        F.max_by("status", F.struct(F.col("month").isNull(), "month", "status")).alias("current_status"),
     )
 
 

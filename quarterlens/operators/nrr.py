@@ -29,7 +29,7 @@ def customer_quarters(monthly: DataFrame, cal: DataFrame | None = None) -> DataF
             F.max("tier_arr").alias("arr_max")]
     if cal is not None:
         ends = quarter_end_months(cal).select(F.col("quarter_end_month").alias("__qe"))
-        known = known.join(F.broadcast(ends), F.col("month") == F.col("__qe"), "left")
+        known = known.join(ends, F.col("month") == F.col("__qe"), "left")
         aggs.append(F.sum(F.when(F.col("__qe").isNotNull(), F.col("tier_arr")))
                     .cast("bigint").alias("arr_qend"))
     return known.groupBy("customer_id", "fiscal_quarter").agg(*aggs)

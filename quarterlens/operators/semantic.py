@@ -20,7 +20,8 @@ class Field:
     name: str
     column: str
     synonyms: tuple[str, ...] = ()
-    description: str = ""
+    # Of a fact: how it adds up. "semi" not over fiscal quarters, "ratio" not at all.
+    kind: str = "additive"
 
 
 @dataclass(frozen=True)
@@ -45,8 +46,8 @@ REVENUE_WATERFALL = SemanticTable(
     name="revenue_waterfall",
     dimensions=(Field("fiscal_quarter", "fiscal_quarter", ("quarter", "period", "FQ")),),
     facts=(
-        Field("beginning_arr", "beginning_arr", ("starting ARR", "opening ARR")),
-        Field("ending_arr", "ending_arr", ("final ARR", "closing ARR", "total ARR", "ARR")),
+        Field("beginning_arr", "beginning_arr", ("starting ARR", "opening ARR"), kind="semi"),
+        Field("ending_arr", "ending_arr", ("final ARR", "closing ARR", "total ARR", "ARR"), kind="semi"),
         Field("net_new_arr", "net_new_arr", ("growth", "net ARR change", "net new")),
         Field("new_arr", "new_arr", ("new logo ARR", "new business", "bookings")),
         Field("expansion_arr", "expansion_arr", ("upsell ARR", "upgrade ARR", "expansion")),
@@ -54,7 +55,7 @@ REVENUE_WATERFALL = SemanticTable(
                                                       "contraction")),
         Field("churn_arr", "churn_arr", ("churn", "lost ARR", "churned ARR", "lost revenue")),
         Field("qoq_growth_pct", "qoq_growth_pct", ("quarter over quarter growth",
-                                                    "QoQ growth", "growth rate")),
+                                                    "QoQ growth", "growth rate"), kind="ratio"),
     ),
     metrics=(
         Metric("ending_arr_metric", "sum", "ending_arr", ("total ARR", "ARR"),
@@ -71,7 +72,7 @@ NRR_COHORTS = SemanticTable(
         Field("cohort_quarter", "cohort_quarter", ("cohort", "signup quarter")),
         Field("fiscal_quarter", "fiscal_quarter", ("measurement quarter", "period")),
     ),
-    facts=(Field("nrr_pct", "nrr_pct", ("retention", "NRR", "net revenue retention")),),
+    facts=(Field("nrr_pct", "nrr_pct", ("retention", "NRR", "net revenue retention"), kind="ratio"),),
     metrics=(Metric("avg_nrr_pct", "avg", "nrr_pct", ("retention", "NRR", "average retention")),),
 )
 
@@ -108,6 +109,24 @@ def resolve_dimension(term: str, table: SemanticTable) -> str:
     raise KeyError(f"{term!r} is not a dimension of {table.name}")
 
 
+#: The dimensions that make up each table's grain.
+GRAIN = {"revenue_waterfall": {"fiscal_quarter"}, "nrr_cohorts": {"cohort_quarter", "fiscal_quarter"}}
+
+
+def _check_additive(m: Metric | Field, table: SemanticTable, fixed: set[str]) -> None:
+    """A fact may only be summed over dimensions that it adds up over.
+
+    ``fixed`` holds the dimensions that the result is grouped by or that a
+    filter pins to one value.
+    """
+    if isinstance(m, Metric):
+        return
+    if m.kind == "ratio" and not GRAIN[table.name] <= fixed:
+        raise ValueError(f"{m.name} is a ratio: group by {sorted(GRAIN[table.name])}")
+    if m.kind == "semi" and "fiscal_quarter" not in fixed:
+        raise ValueError(f"{m.name} cannot be summed over quarters: group by or pick a fiscal_quarter")
+
+
 def _aggregate(m: Metric | Field) -> Column:
     if isinstance(m, Metric):
         if m.agg == "sum":
@@ -116,7 +135,7 @@ def _aggregate(m: Metric | Field) -> Column:
             # exact decimal average of 2-decimal percentages
             return F.avg(F.col(m.column).cast("decimal(12,2)")).cast("decimal(18,6)")
         raise ValueError(m.agg)
-    return F.sum(m.column)  # a fact asked for as a measure sums like the warehouse
+    return F.max(m.column) if m.kind == "ratio" else F.sum(m.column)  # a ratio has one row at its grain
 
 
 def metric(frames: Mapping[str, DataFrame], terms: Sequence[str] | str,
@@ -132,9 +151,11 @@ def metric(frames: Mapping[str, DataFrame], terms: Sequence[str] | str,
     for dim, value in (where or {}).items():
         df = df.where(F.col(resolve_dimension(dim, table)) == F.lit(value))
     aggs = []
+    fixed = set(dims) | {resolve_dimension(d, table) for d in (where or {})}
     for _, m in resolved:
+        _check_additive(m, table, fixed)
         semi = getattr(m, "semi_additive_over", None)
-        if semi and semi not in dims:
+        if semi and semi not in fixed:
             warnings.warn(f"{m.name} is semi-additive over {semi}; its sum across "
                           f"{semi} values is not meaningful", stacklevel=2)
         aggs.append(_aggregate(m).alias(m.name))

@@ -35,12 +35,12 @@ def quarter_ending(monthly: DataFrame, cal: DataFrame) -> DataFrame:
     """ARR snapshot at the last calendar month of each fiscal quarter.
 
     The correlated "month = max(month) of its quarter" becomes a semi-join
-    with the calendar's quarter-end months (broadcast, bounded), then a sum.
+    with the calendar's quarter-end months, then a sum.
     """
     ends = quarter_end_months(cal).select(
         F.col("fiscal_quarter").alias("__fq"), F.col("quarter_end_month").alias("__m"))
     at_end = monthly.join(
-        F.broadcast(ends),
+        ends,
         (F.col("month") == F.col("__m")) & (F.col("fiscal_quarter") == F.col("__fq")),
         "left_semi")
     return at_end.groupBy("fiscal_quarter").agg(
@@ -53,7 +53,31 @@ def revenue_waterfall(ending: DataFrame, moves: DataFrame) -> DataFrame:
     The window runs after the join: a quarter without movements has no row
     and the next quarter's beginning ARR skips it (model behaviour).
     """
-    joined = ending.join(moves, "fiscal_quarter")
+    return _waterfall_rows(ending.join(moves, "fiscal_quarter"))
+
+
+def waterfall_from_months(months: DataFrame, cal: DataFrame) -> DataFrame:
+    """The same waterfall in one pass over ``arr.with_movements`` rows.
+
+    One map-side combined group-by per quarter gives the movement sums and the
+    quarter-end ARR; quarters without a movement or without a quarter-end row
+    have no row, as with the join.
+    """
+    ends = quarter_end_months(cal).select(
+        F.col("fiscal_quarter").alias("__fq"), F.col("quarter_end_month").alias("__m"))
+    marked = months.where(F.col("fiscal_quarter").isNotNull()).join(
+        ends, (F.col("month") == F.col("__m")) & (F.col("fiscal_quarter") == F.col("__fq")), "left")
+    delta = F.col("current_arr") - F.coalesce("prior_arr", F.lit(0))
+    sums = [F.coalesce(F.sum(F.when(F.col("movement_type") == F.lit(t), delta)), F.lit(0))
+            .cast("bigint").alias(f"{t}_arr") for t in MOVEMENT_TYPES]
+    per = marked.groupBy("fiscal_quarter").agg(
+        *sums, F.count("movement_type").alias("__moves"), F.count("__m").alias("__ends"),
+        F.sum(F.when(F.col("__m").isNotNull(), F.col("current_arr"))).cast("bigint").alias("ending_arr"))
+    return _waterfall_rows(per.where((F.col("__moves") > 0) & (F.col("__ends") > 0)))
+
+
+def _waterfall_rows(joined: DataFrame) -> DataFrame:
+    """LAG over the quarters and the columns that follow from it."""
     begin = F.lag("ending_arr").over(_quarter_order())
     return joined.select(
         "fiscal_quarter",

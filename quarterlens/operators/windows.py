@@ -2,81 +2,82 @@
 
 ``lag(v) over (partition by key order by t)`` puts every row of one key in a
 single task.  The billing tables are customer-month grained, so a key is
-normally small, but one customer (or a pile of duplicate rows under one id)
-may still hold a large share of a table.  ``previous_value`` and
-``next_value`` therefore split each key into time buckets (by default the
-calendar year of ``t``):
+normally small, but one customer (or a pile of duplicate rows under one id, or
+under a NULL id) may still hold a large share of a table.
 
-1. the window runs per (key, bucket) -- a hot key is spread over many tasks;
-2. a map-side-combined ``max_by``/``min_by`` per (key, bucket) takes the
-   value to hand over -- one row per key and bucket;
-3. a window over that small table hands each bucket the neighbouring
-   bucket's boundary value (row-based: empty buckets are skipped, exactly
-   like a row-based LAG);
-4. that small table is joined back on (key, bucket) -- the side the window
-   produced is already partitioned that way, so only the small side moves --
-   and the first row of each bucket takes the handed-over value.
+The rows of a key are ordered by ``t`` (NULLs last), then by a hash slice of
+the ``tie`` columns, then by those columns and the value: a total order up to
+rows that agree in all of them.  ``previous_value`` and ``next_value`` cut it
+into buckets, one per (``t``, slice):
 
-The result equals the plain window row for row as long as ``t`` orders the
-rows of a key totally (the same condition that makes LAG deterministic).
-Pass ``bucket=False`` to get the plain one-shuffle window: the right choice
-when the rows per key are bounded by construction (one row per key and
-month, as after a group-by on both), where it costs no extra shuffle at all
-if the input is already partitioned by the key.
+1. the window runs per (key, t, slice) -- neither a hot key nor a hot
+   key and month stays together;
+2. a map-side-combined ``max_by``/``min_by`` per bucket takes the value to
+   hand over -- one row per bucket;
+3. a window over that table, bounded by distinct ``t`` times ``SLICES`` rows
+   per key, hands each bucket the neighbouring bucket's value;
+4. it is joined back null-safely -- the window's side is already partitioned
+   that way -- and the first row of each bucket takes the handed-over value.
+
+The result equals the plain window row for row (``bucket=False``, the right
+choice when the rows per key are bounded by construction: one shuffle, or none
+if the input is already partitioned by the key).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_B = "__bucket"
+SLICES = 64
+_SLICE = "__slice"
 _EDGE = "__edge"
 _NEIGHBOUR = "__neighbour"
 
 
-def _default_bucket(order_col: str) -> Column:
-    return F.year(F.col(order_col))
-
-
 def _shift(df: DataFrame, key: str, order_col: str, value_col: str, out_col: str,
-           backwards: bool, bucket: Column | bool | None) -> DataFrame:
-    order = F.col(order_col).asc() if backwards else F.col(order_col).desc()
-    if bucket is False:
-        w = Window.partitionBy(key).orderBy(order)
-        return df.withColumn(out_col, F.lag(value_col).over(w))
-    bucket_col = _default_bucket(order_col) if bucket is None or bucket is True else bucket
-    withb = df.withColumn(_B, bucket_col)
-    # Boundary value of every (key, bucket): its last row in window order.
-    # An aggregate with a map-side step, so a hot key is reduced to one row
-    # per bucket and input partition before its (small) shuffle.
+           backwards: bool, bucket: bool, tie: Sequence[str]) -> DataFrame:
+    tie = list(tie)
+    sliced = F.pmod(F.xxhash64(*tie), F.lit(SLICES)) if tie else F.lit(0).cast("bigint")
+    # LEAD is the same walk the other way round: NULLs of ``t`` stay at the end of time.
+    if backwards:
+        by_time, by = F.col(order_col).asc_nulls_last(), lambda c: F.col(c).asc_nulls_last()
+    else:
+        by_time, by = F.col(order_col).desc_nulls_first(), lambda c: F.col(c).desc_nulls_first()
+    withs = df.withColumn(_SLICE, sliced)
+    inside = [by(c) for c in dict.fromkeys([*tie, value_col]) if c != order_col]
+    if not bucket:
+        w = Window.partitionBy(key).orderBy(by_time, by(_SLICE), *inside)
+        return withs.withColumn(out_col, F.lag(value_col).over(w)).drop(_SLICE)
+    # The bucket's last row in walking order: the greatest (least) of its order
+    # columns, a NULL counting as greater than any value.
+    rank = F.struct(*[x for c in dict.fromkeys([*tie, value_col]) if c != order_col
+                      for x in (F.col(c).isNull(), F.col(c))] or [F.lit(0)])
     pick = F.max_by if backwards else F.min_by
-    tails = withb.groupBy(key, _B).agg(pick(F.col(value_col), F.col(order_col)).alias("__tail"))
-    bucket_order = F.col(_B).asc() if backwards else F.col(_B).desc()
-    handoff = tails.select(
-        key, _B,
-        F.lag("__tail").over(Window.partitionBy(key).orderBy(bucket_order)).alias(_NEIGHBOUR))
-    # The only full shuffle: rows move to (key, bucket) partitions, never to a
-    # coarser per-key partitioning inherited from upstream.
-    w = Window.partitionBy(key, _B).orderBy(order)
-    inner = (withb.repartition(key, _B)
+    tails = withs.groupBy(key, order_col, _SLICE).agg(pick(F.struct(value_col), rank).alias("__tail"))
+    along = Window.partitionBy(key).orderBy(by_time, by(_SLICE))
+    handoff = tails.select(F.col(key).alias("__k"), F.col(order_col).alias("__t"), F.col(_SLICE).alias("__s"),
+                           F.lag("__tail").over(along)[value_col].alias(_NEIGHBOUR))
+    w = Window.partitionBy(key, order_col, _SLICE).orderBy(*(inside or [by(_SLICE)]))
+    inner = (withs.repartition(key, order_col, _SLICE)
              .withColumn(out_col, F.lag(value_col).over(w))
              .withColumn(_EDGE, F.row_number().over(w) == 1))
-    # The window output is already hash-partitioned by (key, bucket), so this
-    # join only moves the small hand-off table.
-    joined = inner.join(handoff, [key, _B], "left")
+    joined = inner.join(handoff, F.col(key).eqNullSafe(F.col("__k"))
+                        & F.col(order_col).eqNullSafe(F.col("__t")) & (F.col(_SLICE) == F.col("__s")), "left")
     return joined.select(
         *df.columns,
         F.when(F.col(_EDGE), F.col(_NEIGHBOUR)).otherwise(F.col(out_col)).alias(out_col))
 
 
 def previous_value(df: DataFrame, key: str, order_col: str, value_col: str, out_col: str,
-                   bucket: Column | bool | None = None) -> DataFrame:
-    """Add ``out_col`` = LAG(value_col) over (partition by key order by order_col)."""
-    return _shift(df, key, order_col, value_col, out_col, True, bucket)
+                   bucket: bool = True, tie: Sequence[str] = ()) -> DataFrame:
+    """Add ``out_col`` = LAG(value_col) over (partition by key order by order_col, tie)."""
+    return _shift(df, key, order_col, value_col, out_col, True, bucket, tie)
 
 
 def next_value(df: DataFrame, key: str, order_col: str, value_col: str, out_col: str,
-               bucket: Column | bool | None = None) -> DataFrame:
-    """Add ``out_col`` = LEAD(value_col) over (partition by key order by order_col)."""
-    return _shift(df, key, order_col, value_col, out_col, False, bucket)
+               bucket: bool = True, tie: Sequence[str] = ()) -> DataFrame:
+    """Add ``out_col`` = LEAD(value_col) over (partition by key order by order_col, tie)."""
+    return _shift(df, key, order_col, value_col, out_col, False, bucket, tie)

@@ -1,8 +1,9 @@
 """Batch job: rebuild the gold layer, check it, export the close report.
 
+    spark-submit quarterlens/plans/job.py --bronze <folder or schema> --out <root>
     spark-submit quarterlens/plans/job.py --sf-dir <driver tables> --out <root>
 
-Reads the driver tables, writes the five gold marts under ``<out>/gold``
+Reads the four bronze tables (or derives them from the driver tables), writes the five gold marts under ``<out>/gold``
 (full overwrite), writes the data-quality results and the quarter-close
 datasets next to them, and fails (exit 1) when a declared check fails.
 The checkpoint folder comes from ``spark.checkpoint.dir`` (set by the
@@ -38,7 +39,10 @@ def main(argv: list[str] | None = None) -> int:
     from quarterlens.sources import marts
 
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--sf-dir", required=True, help="folder with the driver parquet tables")
+    source = ap.add_mutually_exclusive_group(required=True)
+    source.add_argument("--bronze", help="folder or catalog schema with the four bronze tables")
+    source.add_argument("--sf-dir", help="folder with the driver parquet tables")
+    ap.add_argument("--format", default="parquet", help="of the bronze tables: a file format, or table")
     ap.add_argument("--out", required=True, help="root folder of the layers")
     ap.add_argument("--quarter", help="also print the close headline of this quarter")
     args = ap.parse_args(argv)
@@ -48,7 +52,8 @@ def main(argv: list[str] | None = None) -> int:
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
-    model = RevenueModel.from_driver(spark, args.sf_dir).build(args.out)
+    model = (RevenueModel.from_bronze(spark, args.bronze, args.format) if args.bronze
+             else RevenueModel.from_driver(spark, args.sf_dir)).build(args.out)
 
     checks = model.data_quality()
     marts.write_mart(checks, marts.mart_path(args.out, "dq_results"))

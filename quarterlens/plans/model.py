@@ -10,6 +10,7 @@ also cuts the lineage for everything downstream.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
@@ -17,6 +18,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarterlens.constants import DEFAULT_CALENDAR_MONTHS, DEFAULT_CALENDAR_START
 from quarterlens.operators import (
     arr,
     calendar,
@@ -27,12 +29,15 @@ from quarterlens.operators import (
     staging,
     waterfall,
 )
-from quarterlens.session import ensure_checkpoint_dir
 from quarterlens.sources import driver, marts
+from quarterlens.sources.bronze import read_bronze_tables
 from quarterlens.sources.driver import INVOICE_TIE_BREAK
 
-GOLD_MARTS = ("dim_fiscal_calendar", "dim_customers", "fct_arr_movements",
-              "fct_revenue_waterfall", "fct_nrr_cohorts")
+#: Gold mart -> attribute of the model.
+MARTS = {"dim_fiscal_calendar": "calendar", "dim_customers": "dim_customers",
+         "fct_arr_movements": "arr_movements", "fct_revenue_waterfall": "waterfall",
+         "fct_nrr_cohorts": "nrr_cohorts"}
+GOLD_MARTS = tuple(MARTS)
 
 
 BRONZE = ("raw_customers", "raw_subscriptions", "raw_invoices", "raw_usage_events")
@@ -56,7 +61,7 @@ class RevenueModel:
             raise ValueError(f"missing bronze tables: {sorted(missing)}")
         self.spark = spark
         self.bronze = dict(bronze)
-        # Frame whose date range spans the calendar (complete fiscal quarters);
+        # Frame whose date range spans the calendar (whole fiscal quarters);
         # None -> the model's default fixed calendar.
         self.calendar_source = calendar_source
         self.calendar_column = calendar_column
@@ -91,8 +96,9 @@ class RevenueModel:
         """A fresh model sharing this one's inputs except the replaced tables."""
         model = RevenueModel(self.spark, {**self.bronze, **replace}, self.calendar_source,
                              self.calendar_column, self.skew_safe)
-        if "calendar" in self.__dict__:  # a resolved calendar stays valid
-            model.__dict__["calendar"] = self.__dict__["calendar"]
+        for resolved in ("calendar_span", "calendar"):  # they stay valid
+            if resolved in self.__dict__:
+                model.__dict__[resolved] = self.__dict__[resolved]
         return model
 
     @classmethod
@@ -107,24 +113,26 @@ class RevenueModel:
         partitioning the snapshot step already produced (no extra shuffle).
         """
         tables = driver.DriverTables(spark, sf_dir)
-        orders = tables("orders", "o_orderdate")
-        # One tiny aggregate gives both the calendar span and the snapshot
-        # period end (the last order month), so neither is recomputed inside
-        # the big plans.
-        seen = calendar.month_range(orders, "o_orderdate")
-        period_end = seen[1].isoformat() if seen[1] is not None else None
         bronze = {
             "raw_customers": lambda: driver.bronze_customers(tables),
-            "raw_subscriptions": lambda: driver.bronze_subscriptions(tables,
-                                                                     period_end=period_end),
+            "raw_subscriptions": lambda: driver.bronze_subscriptions(tables),
             "raw_invoices": lambda: driver.bronze_invoices(tables),
             "raw_usage_events": lambda: driver.bronze_usage_events(tables),
         }
-        model = cls(spark, bronze, calendar_source=orders, calendar_column="o_orderdate",
-                    skew_safe=skew_safe)
-        model.__dict__["calendar"] = calendar.fiscal_calendar(
-            spark, *calendar.calendar_span(None, months_seen=seen))
-        return model
+        return cls(spark, bronze, calendar_source=tables("orders", "o_orderdate"),
+                   calendar_column="o_orderdate", skew_safe=skew_safe)
+
+    @classmethod
+    def from_bronze(cls, spark: SparkSession, location: str, fmt: str = "parquet",
+                    skew_safe: bool = True) -> RevenueModel:
+        """Model over the four declared bronze tables in a folder or catalog schema.
+
+        The calendar spans the months of the subscriptions and of the signups.
+        """
+        tables = read_bronze_tables(spark, location, fmt)
+        seen = (tables["raw_subscriptions"].select("month").unionByName(
+            tables["raw_customers"].select(F.col("signup_date").alias("month"))))
+        return cls(spark, tables, calendar_source=seen, calendar_column="month", skew_safe=skew_safe)
 
     # --- silver ----------------------------------------------------------
     @cached_property
@@ -146,11 +154,15 @@ class RevenueModel:
 
     # --- gold ------------------------------------------------------------
     @cached_property
-    def calendar(self) -> DataFrame:
+    def calendar_span(self) -> tuple[str, int]:
+        """(first month, months), resolved by one two-value aggregate on first use."""
         if self.calendar_source is None:
-            return calendar.fiscal_calendar(self.spark)
-        start, months = calendar.calendar_span(self.calendar_source, self.calendar_column)
-        return calendar.fiscal_calendar(self.spark, start, months)
+            return DEFAULT_CALENDAR_START, DEFAULT_CALENDAR_MONTHS
+        return calendar.calendar_span(self.calendar_source, self.calendar_column)
+
+    @cached_property
+    def calendar(self) -> DataFrame:
+        return calendar.fiscal_calendar(self.spark, *self.calendar_span)
 
     @cached_property
     def monthly_arr(self) -> DataFrame:
@@ -161,9 +173,13 @@ class RevenueModel:
         return customers.dim_customers(self.stg_customers, self.stg_subscriptions,
                                        self.calendar)
 
+    @cached_property
+    def monthly_arr_by_id(self) -> DataFrame:
+        return arr.monthly_arr(self.stg_subscriptions, self.calendar, keep_id=True)
+
     @cached_property
     def arr_movements(self) -> DataFrame:
-        return arr.arr_movements(self.monthly_arr, skew_safe=self.skew_safe)
+        return arr.arr_movements(self.monthly_arr_by_id, skew_safe=self.skew_safe)
 
     @cached_property
     def quarterly_movements(self) -> DataFrame:
@@ -175,7 +191,8 @@ class RevenueModel:
 
     @cached_property
     def waterfall(self) -> DataFrame:
-        return waterfall.revenue_waterfall(self.quarter_ending, self.quarterly_movements)
+        months = arr.with_movements(self.monthly_arr_by_id, skew_safe=self.skew_safe)
+        return waterfall.waterfall_from_months(months, self.calendar)
 
     @cached_property
     def customer_quarters(self) -> DataFrame:
@@ -206,15 +223,12 @@ class RevenueModel:
         return nrr.nrr_cohorts_qend(self.cohort_quarters)
 
     def calendar_quarters(self) -> list[str]:
-        """Quarter labels of the calendar, in order (bounded: one per quarter)."""
-        # At most MAX_CALENDAR_MONTHS rows; for the generated (local) calendar
-        # this collect runs no Spark job at all.
-        return sorted({r[0] for r in self.calendar.select("fiscal_quarter").collect()
-                       if r[0] is not None})
+        """Quarter labels of the calendar, in order, from its rule (no job of their own)."""
+        return calendar.quarter_labels(*self.calendar_span)
 
     def close_report(self, fq: str | None = None) -> dict[str, DataFrame]:
-        if fq is not None and self.waterfall.where(F.col("fiscal_quarter") == fq).isEmpty():
-            raise KeyError(f"fiscal quarter {fq!r} has no waterfall row")
+        if fq is not None and fq not in self.calendar_quarters():
+            raise KeyError(f"fiscal quarter {fq!r} is not in the calendar")
         return reporting.close_report(self.waterfall, self.arr_movements, self.nrr_cohorts, fq)
 
     def dq_tables(self) -> dict[str, DataFrame]:
@@ -234,43 +248,53 @@ class RevenueModel:
         return quality.run_all(self.dq_tables())
 
     # --- materialisation -------------------------------------------------
-    def build(self, root: str, concurrent_writes: int = 4) -> RevenueModel:
-        """Write the five gold marts under ``root/gold`` (full overwrite) and
-        return a model whose marts read them back.
-
-        ``stg_subscriptions`` feeds every mart but the calendar, so it is
-        checkpointed once into the session's checkpoint folder (shared
-        storage on a cluster) instead of being recomputed per mart; the
-        checkpoint keeps its customer partitioning, and a lost executor
-        re-reads it rather than replaying the lineage.  The marts are then
-        independent jobs over that checkpoint and are submitted together
-        (``concurrent_writes`` at a time), so short stages of one job overlap
-        with another's instead of leaving executors idle.
+    def build(self, root: str, concurrent_writes: int = 4, as_tables: bool = False) -> RevenueModel:
+        """Rebuild silver and gold and return a model that reads them back.
+
+        ``root`` is a folder (``root/silver``, ``root/gold``) or, with
+        ``as_tables``, a catalog schema.  ``stg_subscriptions`` feeds every mart
+        but the calendar, so it is written first, as a Parquet silver table:
+        each mart reads only its columns, and a lost executor reads it again.
+        The marts are independent jobs over it and are submitted together.  In a
+        folder they are written beside the old ones, which are replaced only
+        when all are complete; catalog tables are overwritten one by one.
         """
-        ensure_checkpoint_dir(self.spark)  # the cluster's shared folder, if it names one
-        subs = self.stg_subscriptions.checkpoint(eager=True)
-        built = self.with_bronze()
-        built.__dict__["stg_subscriptions"] = subs
-        cal_path = marts.mart_path(root, "dim_fiscal_calendar")
-        marts.write_mart(self.calendar, cal_path)
-        built.__dict__["calendar"] = marts.read_mart(self.spark, cal_path)
-        targets = {"dim_customers": "dim_customers", "arr_movements": "fct_arr_movements",
-                   "waterfall": "fct_revenue_waterfall", "nrr_cohorts": "fct_nrr_cohorts"}
-        frames = {attr: getattr(built, attr) for attr in targets}  # plan on this thread
+        run = uuid.uuid4().hex
+
+        def target(name: str, layer: str = "gold", new: bool = False) -> str:
+            if as_tables:
+                return f"{root}.{name}"
+            path = marts.mart_path(root, name, layer)
+            return f"{path}.{run}" if new else path
+
+        def save(df: DataFrame, name: str, by: list[str] | None = None, layer: str = "gold") -> None:
+            marts.write_mart(df, target(name, layer, new=True), by, as_tables)
+
+        save(self.stg_subscriptions, "stg_subscriptions", layer="silver")
+        built = self.with_bronze()  # nothing cached but the calendar's span
+        built.__dict__.pop("calendar", None)
+        built.__dict__["stg_subscriptions"] = marts.read_mart(
+            self.spark, target("stg_subscriptions", "silver", new=True), as_tables)
+        frames = {name: getattr(built, attr) for name, attr in MARTS.items()}  # plan on this thread
         # Movements are read one quarter at a time (close report, dashboards):
         # partition the mart by quarter so such reads prune to one folder.
         # Range-partitioning by (quarter, customer) first gives balanced tasks
         # that each write one or two quarter folders: few files, and a hot
         # quarter is split over many tasks instead of landing in one.
-        frames["arr_movements"] = frames["arr_movements"].repartitionByRange(
+        frames["fct_arr_movements"] = frames["fct_arr_movements"].repartitionByRange(
             "fiscal_quarter", "customer_id")
-        partitioned = {"arr_movements": ["fiscal_quarter"]}
-        paths = {attr: marts.mart_path(root, name) for attr, name in targets.items()}
+        partitioned = {"fct_arr_movements": ["fiscal_quarter"]}
         with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
-            jobs = [pool.submit(marts.write_mart, frames[a], paths[a], partitioned.get(a))
-                    for a in targets]
+            jobs = [pool.submit(save, frames[name], name, partitioned.get(name)) for name in MARTS]
             for job in jobs:
                 job.result()
-        for attr in targets:
-            built.__dict__[attr] = marts.read_mart(self.spark, paths[attr])
-        return built
+        if not as_tables:
+            marts.replace_marts(self.spark, {target(n, new=True): target(n) for n in MARTS}
+                                | {target("stg_subscriptions", "silver", new=True): target("stg_subscriptions", "silver")})
+        done = self.with_bronze()
+        done.__dict__.pop("calendar", None)
+        done.__dict__["stg_subscriptions"] = marts.read_mart(
+            self.spark, target("stg_subscriptions", "silver"), as_tables)
+        for name, attr in MARTS.items():
+            done.__dict__[attr] = marts.read_mart(self.spark, target(name), as_tables)
+        return done

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from quarterlens.constants import FIXTURE_VERIFIED_QUARTER
 from quarterlens.operators import calendar, nrr, quality, reporting, semantic, waterfall
 from quarterlens.plans.model import RevenueModel
+from quarterlens.sources import driver
 
 VERIFIED_QUARTER = FIXTURE_VERIFIED_QUARTER
 
@@ -39,6 +40,9 @@ def _nrr_matrix(m: RevenueModel) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # sources
     "monthly_snapshots": _q(lambda m: m.raw_subscriptions),
+    # S9 alone: the change log expanded, tiers as logged.
+    "subscription_months": lambda spark, sf_dir: driver.monthly_snapshots(
+        driver.subscription_changes(spark, sf_dir)),
     # The lazy form: its own plan scans the orders' date range (the model
     # uses the same rule, resolved once, as a broadcastable local table).
     "fiscal_calendar": _q(lambda m: calendar.fiscal_calendar_for(m.calendar_source,
@@ -52,6 +56,8 @@ QUERIES: dict[str, Query] = {
     "monthly_arr": _q(lambda m: m.monthly_arr),
     "dim_customers": _q(lambda m: m.dim_customers),
     "arr_movements": _q(lambda m: m.arr_movements),
+    "arr_movements_skew_safe": lambda spark, sf_dir: RevenueModel.from_driver(
+        spark, sf_dir, skew_safe=True).arr_movements,
     "quarterly_movements": _q(lambda m: m.quarterly_movements),
     "quarter_ending": _q(lambda m: m.quarter_ending),
     "waterfall": _q(lambda m: m.waterfall.orderBy("fiscal_quarter")),
@@ -89,6 +95,13 @@ QUERIES: dict[str, Query] = {
         ["total ARR", "net new", "churn", "expansion"], by=["quarter"])),
     "metric_avg_nrr": _q(lambda m: semantic.metric(
         {"nrr_cohorts": m.nrr_cohorts}, "average retention", by=["measurement quarter"])),
+    "metric_fact_synonym": _q(lambda m: semantic.metric(
+        {"revenue_waterfall": m.waterfall}, ["closing ARR", "upsell ARR", "growth rate"], by=["FQ"])),
+    "metric_where": _q(lambda m: semantic.metric(
+        {"revenue_waterfall": m.waterfall}, ["opening ARR", "lost ARR"],
+        where={"period": VERIFIED_QUARTER})),
+    "metric_nrr_by_cohort": _q(lambda m: semantic.metric(
+        {"nrr_cohorts": m.nrr_cohorts}, "NRR", by=["signup quarter"])),
     "vq_quarter_waterfall": _q(lambda m: semantic.vq_quarter_waterfall(m.waterfall,
                                                                        VERIFIED_QUARTER)),
     "vq_growth_trend": _q(lambda m: semantic.vq_growth_trend(m.waterfall)),

@@ -1,16 +1,19 @@
-"""SQL access to the marts: temp views plus the model's stored queries.
+"""SQL access to the marts: temp views, and the model's standing questions.
 
 ``register_views`` exposes the silver and gold frames of a model under their
-model names (``fct_revenue_waterfall``, ``fct_nrr_cohorts`` ...), so the
-SQL a dashboard or analyst already runs works unchanged through
-``spark.sql``.  Quarter filters are bound parameters (``:fq``), never values
-formatted into the text.
+model names (``fct_revenue_waterfall``, ``fct_nrr_cohorts`` ...), so SQL written
+for them works unchanged through ``spark.sql`` (with bound parameters such as
+``:fq``).  ``ask`` answers the standing questions with the DataFrame operators.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quarterlens.operators import reporting, semantic
 from quarterlens.plans.model import RevenueModel
 
 VIEWS = {
@@ -25,27 +28,20 @@ VIEWS = {
     "fct_nrr_cohorts": "nrr_cohorts",
 }
 
-# The stored questions of the model: three verified queries and the
-# per-quarter pulls of the dashboards and the close workbook.
-STORED_SQL = {
-    "bad_quarter_waterfall":
-        "SELECT * FROM fct_revenue_waterfall WHERE fiscal_quarter = :fq",
-    "quarterly_growth":
-        "SELECT fiscal_quarter, ending_arr, net_new_arr, qoq_growth_pct "
-        "FROM fct_revenue_waterfall ORDER BY fiscal_quarter",
-    "nrr_by_cohort":
-        "SELECT cohort_quarter, fiscal_quarter, nrr_pct FROM fct_nrr_cohorts "
-        "ORDER BY cohort_quarter, fiscal_quarter",
-    "movement_detail":
-        "SELECT movement_type, COUNT(*) AS customers, SUM(arr_delta) AS arr_delta "
-        "FROM fct_arr_movements WHERE fiscal_quarter = :fq "
-        "GROUP BY movement_type ORDER BY arr_delta DESC",
-    "close_summary":
-        "SELECT beginning_arr, ending_arr, net_new_arr, qoq_growth_pct, churn_arr, "
-        "expansion_arr FROM fct_revenue_waterfall WHERE fiscal_quarter = :fq",
-    "close_nrr":
-        "SELECT cohort_quarter, cohort_starting_arr, cohort_current_arr, nrr_pct "
-        "FROM fct_nrr_cohorts WHERE fiscal_quarter = :fq ORDER BY cohort_quarter",
+def _of_quarter(df: DataFrame, fq: str) -> DataFrame:
+    return df.where(F.col("fiscal_quarter") == F.lit(fq))
+
+
+# The model's standing questions, answered by its own operators.
+QUESTIONS: dict[str, Callable[..., DataFrame]] = {
+    "waterfall_of_quarter": lambda m, fq: semantic.vq_quarter_waterfall(m.waterfall, fq),
+    "growth_by_quarter": lambda m: semantic.vq_growth_trend(m.waterfall),
+    "retention_by_cohort": lambda m: semantic.vq_nrr_by_cohort(m.nrr_cohorts),
+    "movements_of_quarter": lambda m, fq: _of_quarter(reporting.movement_detail(m.arr_movements), fq)
+    .orderBy(F.col("arr_delta").desc()),
+    "headline_of_quarter": lambda m, fq: _of_quarter(reporting.close_summary(m.waterfall), fq),
+    "retention_of_quarter": lambda m, fq: _of_quarter(reporting.close_nrr(m.nrr_cohorts), fq)
+    .orderBy("cohort_quarter"),
 }
 
 
@@ -56,6 +52,6 @@ def register_views(model: RevenueModel) -> list[str]:
     return list(VIEWS)
 
 
-def run_stored(spark: SparkSession, name: str, **params: object) -> DataFrame:
-    """Run a stored query against the registered views, binding ``params``."""
-    return spark.sql(STORED_SQL[name], args=params or None)
+def ask(model: RevenueModel, question: str, **params: str) -> DataFrame:
+    """Answer one of ``QUESTIONS``; a quarter is passed as ``fq``."""
+    return QUESTIONS[question](model, **params)

@@ -113,19 +113,17 @@ def subscription_changes(spark: SparkSession | DriverTables, sf_dir: str | None
     )
 
 
-def monthly_snapshots(changes: DataFrame, period_end: str | None = None,
-                      null_tiers: bool = True) -> DataFrame:
-    """Subscription change log -> one subscription row per customer and month.
+def monthly_snapshots(changes: DataFrame, period_end: str | Column | None = None) -> DataFrame:
+    """Subscription change log -> one row per customer and month.
 
-    A churned change lasts one month (the customer is then silent until the
+    ``changes`` has customer_id, change_month, tier, status; the result
+    customer_id, month, plan_tier, status, with tier and status as logged.  A
+    churned change lasts one month (the customer is then silent until the
     next change); any other change lasts until the month before the
     customer's next change, the last one until ``period_end`` (default: the
-    latest change month in the data).  Intervals are expanded with
+    latest change month in the data).  Changes after ``period_end`` and
+    months beyond it are left out.  Intervals are expanded with
     ``explode(sequence(...))``; the next change comes from a LEAD window.
-
-    Output is the raw subscription table: subscription_id, customer_id,
-    month, plan_tier, mrr, status.  ``null_tiers=False`` skips the fixture's
-    missing-tier rule (used to show the bridge closes without it).
     """
     # Changes are unique per (customer, month), so one customer has at most
     # one row per month of history: the plain window's groups are bounded.
@@ -134,24 +132,40 @@ def monthly_snapshots(changes: DataFrame, period_end: str | None = None,
     if period_end is None:
         # Uncorrelated scalar subquery: evaluated once, then used as a literal.
         end_col = changes.select(F.max("change_month")).scalar()
+    elif isinstance(period_end, Column):
+        end_col = period_end
     else:
         end_col = F.to_date(F.lit(period_end))
-    spans = spans.withColumn("period_end", end_col)
-    end = (F.when(F.col("status") == F.lit(STATUS_CHURNED), F.col("change_month"))
-           .when(F.col("next_change").isNotNull(), F.add_months("next_change", -1))
-           .otherwise(F.col("period_end")))
-    snap = spans.select(
-        "customer_id", "tier", "status",
-        F.explode(F.sequence("change_month", end, F.expr("interval 1 month"))).alias("month"),
-    )
+    spans = spans.withColumn("period_end", F.trunc(end_col, "MM"))
+    last = (F.when(F.col("status") == F.lit(STATUS_CHURNED), F.col("change_month"))
+            .when(F.col("next_change").isNotNull(), F.add_months("next_change", -1))
+            .otherwise(F.col("period_end")))
+    # ``least`` skips NULLs, so a change log without a period end stays whole.
+    spans = spans.withColumn("last", F.least(last, "period_end")).where(F.col("last") >= F.col("change_month"))
+    return spans.select(
+        "customer_id",
+        F.explode(F.sequence("change_month", "last", F.expr("interval 1 month"))).alias("month"),
+        F.col("tier").alias("plan_tier"), "status")
+
+
+def bronze_subscriptions(spark: SparkSession | DriverTables, sf_dir: str | None = None,
+                         period_end: str | Column | None = None, missing_tiers: bool = True
+                         ) -> DataFrame:
+    """The fixture's raw subscriptions: snapshots with an id, missing tiers and a noisy MRR.
+
+    Rules 5 to 7 of FIXTURES.md; ``missing_tiers=False`` leaves out rule 5.
+    """
+    t = _tables(spark, sf_dir)
+    if period_end is None:
+        period_end = t("orders", "o_orderdate").select(month_start(F.max("o_orderdate"))).scalar()
+    snap = monthly_snapshots(subscription_changes(t), period_end)
     k = F.col("customer_id").cast("bigint")
     ym = F.year("month").cast("bigint") * 12 + F.month("month")
     tier_mult, tier_mod = FIXTURE_MISSING_TIER
     mrr_mult, mrr_mod, mrr_base = FIXTURE_MRR_NOISE
-    plan_tier = F.col("tier")
-    if null_tiers:
-        plan_tier = F.when((k * tier_mult + ym) % tier_mod == 0, F.lit(None).cast("string")) \
-            .otherwise(plan_tier)
+    plan_tier = F.col("plan_tier")
+    if missing_tiers:
+        plan_tier = F.when((k * tier_mult + ym) % tier_mod != 0, plan_tier)
     # Prices are whole hundreds, so price * (90 + noise) / 100 is an integer:
     # (price / 100) * (90 + noise), all in integer arithmetic.
     hundreds = F.coalesce(
@@ -169,11 +183,6 @@ def monthly_snapshots(changes: DataFrame, period_end: str | None = None,
     )
 
 
-def bronze_subscriptions(spark: SparkSession | DriverTables, sf_dir: str | None = None,
-                         period_end: str | None = None) -> DataFrame:
-    return monthly_snapshots(subscription_changes(_tables(spark, sf_dir)), period_end)
-
-
 def bronze_customers(spark: SparkSession | DriverTables, sf_dir: str | None = None
                      ) -> DataFrame:
     """customer_id, signup_date (first order), region (via nation), initial_plan_tier."""

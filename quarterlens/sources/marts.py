@@ -34,6 +34,17 @@ def write_mart(df: DataFrame, path_or_table: str,
         writer.save(path_or_table)
 
 
+def replace_marts(spark: SparkSession, moves: Mapping[str, str]) -> None:
+    """Put each newly written folder (key) in the place of an old one (value)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for new, old in moves.items():
+        source, place = hadoop.Path(new), hadoop.Path(old)
+        fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.delete(place, True)
+        if not fs.rename(source, place):
+            raise OSError(f"cannot move {new} to {old}")
+
+
 def read_mart(spark: SparkSession, path_or_table: str, as_table: bool = False) -> DataFrame:
     return spark.table(path_or_table) if as_table else spark.read.parquet(path_or_table)
 

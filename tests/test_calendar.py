@@ -36,7 +36,7 @@ def test_calendar_schema(spark):
 def test_calendar_span_matches_lazy_rule(spark):
     orders = DriverTables(spark, SF_MID)("orders", "o_orderdate")
     start, months = calendar.calendar_span(orders, "o_orderdate")
-    assert (start, months) == ("1995-02-01", 78)
+    assert (start, months) == ("1994-11-01", 84)
     eager = calendar.fiscal_calendar(spark, start, months)
     lazy = calendar.fiscal_calendar_for(orders, "o_orderdate")
     assert sorted(eager.collect()) == sorted(lazy.collect())
@@ -46,8 +46,21 @@ def test_span_rule_on_quarter_aligned_data(spark):
     df = spark.createDataFrame([(d("2023-02-01"),), (d("2026-01-31"),)], "t DATE")
     assert calendar.calendar_span(df, "t") == ("2023-02-01", 36)
     short = spark.createDataFrame([(d("2023-03-01"),), (d("2023-05-01"),)], "t DATE")
-    assert calendar.calendar_span(short, "t")[1] == 0
-    assert calendar.fiscal_calendar_for(short, "t").count() == 0
+    assert calendar.calendar_span(short, "t") == ("2023-02-01", 6)
+    assert calendar.fiscal_calendar_for(short, "t").count() == 6
+    assert calendar.fiscal_calendar_for(short.limit(0), "t").count() == 0
+    # one stray date makes a long calendar, not an error
+    stray = spark.createDataFrame([(d("1700-01-01"),), (d("2023-05-01"),)], "t DATE")
+    start, months = calendar.calendar_span(stray, "t")
+    assert calendar.fiscal_calendar_for(stray, "t").count() == months == 3885
+    assert len(calendar.quarter_labels(start, months)) == months // 3
+    assert calendar.calendar_span(None, months_seen=(d("2023-02-01"), d("9999-12-01")))[1] % 3 == 0
+
+
+def test_quarter_labels_follow_the_calendar(spark):
+    cal = calendar.fiscal_calendar(spark, "1994-11-01", 84)
+    seen = [r[0] for r in cal.orderBy("month_date").select("fiscal_quarter").collect()]
+    assert calendar.quarter_labels("1994-11-01", 84) == list(dict.fromkeys(seen))
 
 
 def test_quarter_end_months(spark):
@@ -68,19 +81,18 @@ def test_calendar_month_index_is_integer(spark):
 
 
 def _brute_span(lo, hi, fy_start=2):
-    """All months lo..hi, keep the fiscal quarters whose three months are all inside."""
-    months = []
+    """All months of the fiscal quarters that a month of lo..hi belongs to."""
+    def quarter(y, m):
+        return (y - (m < fy_start), (m - fy_start) % 12 // 3)
+
+    wanted = set()
     y, m = lo.year, lo.month
     while (y, m) <= (hi.year, hi.month):
-        months.append(dt.date(y, m, 1))
+        wanted.add(quarter(y, m))
         y, m = (y + 1, 1) if m == 12 else (y, m + 1)
-    def quarter(d):  # (fiscal year-ish key, quarter index) identifies a quarter
-        idx = (d.month - fy_start) % 12
-        return (d.year - (1 if d.month < fy_start else 0), idx // 3)
-    from collections import Counter
-    full = {q for q, n in Counter(quarter(d) for d in months).items() if n == 3}
-    kept = [d for d in months if quarter(d) in full]
-    return (kept[0].isoformat(), len(kept)) if kept else None
+    kept = [dt.date(y, m, 1) for y in range(lo.year - 1, hi.year + 2) for m in range(1, 13)
+            if quarter(y, m) in wanted]
+    return kept[0].isoformat(), len(kept)
 
 
 from hypothesis import given, settings  # noqa: E402
@@ -95,8 +107,4 @@ def test_calendar_span_rule_matches_brute_force(lo, extra_months):
     k = lo.year * 12 + lo.month - 1 + extra_months
     hi = dt.date(k // 12, k % 12 + 1, 1)
     start, months = calendar.calendar_span(None, months_seen=(lo, hi))
-    want = _brute_span(lo, hi)
-    if want is None:
-        assert months == 0
-    else:
-        assert (start, months) == want
+    assert (start, months) == _brute_span(lo, hi)

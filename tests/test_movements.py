@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF_MID, d, subs_frame
 from quarterlens.operators import arr, calendar, staging
 from quarterlens.operators.windows import next_value, previous_value
+from quarterlens.sources.driver import monthly_snapshots
 from quarterlens.plans.model import RevenueModel
 
 
@@ -98,6 +99,36 @@ def test_skew_safe_lag_equals_plain_window_with_hot_key(spark):
     assert c == e
 
 
+def test_skew_safe_lag_with_null_keys_null_months_and_duplicates(spark):
+    rnd = random.Random(11)
+    months = [None, d("2023-11-01"), d("2023-12-01"), d("2024-01-01"), d("2024-02-01")]
+    rows = [(rnd.choice([None, 1, 2]), rnd.choice(months), rnd.choice([0, 2400, 14400, None]), f"S{i}")
+            for i in range(300)]
+    rows += rows[:40]  # whole rows repeated
+    df = spark.createDataFrame(rows, "k BIGINT, t DATE, v INT, id STRING")
+    for shift in (previous_value, next_value):
+        plain = shift(df, "k", "t", "v", "x", bucket=False, tie=["id"])
+        safe = shift(df, "k", "t", "v", "x", tie=["id"])
+        assert sorted(map(str, plain.collect())) == sorted(map(str, safe.collect()))
+    # a NULL customer's December precedes its January, and a NULL month comes last
+    one = spark.createDataFrame([(None, d("2023-12-01"), 1), (None, d("2024-01-01"), 2), (None, None, 3)],
+                                "k BIGINT, t DATE, v INT")
+    assert {r.v: r.p for r in previous_value(one, "k", "t", "v", "p").collect()} == {1: None, 2: 1, 3: 2}
+
+
+def test_snapshots_leave_the_log_as_it_is(spark):
+    log = spark.createDataFrame(
+        [(c, d(m), t, s) for c in range(60) for m, t, s in (
+            ("2023-01-01", "Pro", "active"), ("2023-04-01", "Growth", "churned"), ("2023-07-01", "Growth", "active"))],
+        "customer_id BIGINT, change_month DATE, tier STRING, status STRING")
+    snap = monthly_snapshots(log, "2023-08-01")
+    assert snap.where("plan_tier IS NULL").count() == 0 and snap.where("plan_tier = 'Pro'").count() == 180
+    assert snap.count() == 60 * (3 + 1 + 2)
+    early = monthly_snapshots(log, "2023-02-01")  # a period end before the last change
+    assert early.count() == 120 and early.agg({"month": "max"}).first()[0] == d("2023-02-01")
+    assert monthly_snapshots(log.unionAll(log)).where("customer_id = 0").count() >= 6
+
+
 def test_skew_safe_movements_match_plain_on_fixture(spark):
     plain = RevenueModel.from_driver(spark, SF_MID, skew_safe=False).arr_movements
     safe = RevenueModel.from_driver(spark, SF_MID, skew_safe=True).arr_movements

@@ -41,7 +41,7 @@ def test_metric_query_and_semi_additive_warning(spark):
 
 def test_arr_bridge_long_form(spark):
     m = RevenueModel.from_driver(spark, SF)
-    br = reporting.arr_bridge(m.waterfall).where("fiscal_quarter = 'FY1996-Q1'") \
+    br = reporting.arr_bridge(m.waterfall).where("fiscal_quarter = 'FY1995-Q4'") \
         .orderBy("position").collect()
     assert [r.component for r in br] == ["Beginning ARR", "New", "Reactivation", "Expansion",
                                          "Contraction", "Churn", "Ending ARR"]
@@ -100,3 +100,22 @@ def test_movements_mart_prunes_by_quarter(spark):
         m.arr_movements.where(F.col("fiscal_quarter").isNull()).count()
     cols = sorted(built.arr_movements.columns)
     assert cols == sorted(m.arr_movements.columns)
+
+
+def test_build_into_a_catalog_schema(spark):
+    m = RevenueModel.from_driver(spark, SF)
+    spark.sql("CREATE DATABASE IF NOT EXISTS ql_gold_test")
+    built = m.build("ql_gold_test", as_tables=True)
+    assert {t.name for t in spark.catalog.listTables("ql_gold_test")} >= {"stg_subscriptions", "fct_nrr_cohorts"}
+    assert sorted(built.waterfall.collect()) == sorted(m.waterfall.collect())
+    assert built.cohort_quarters.count() == m.cohort_quarters.count()
+
+
+def test_facts_add_up_only_where_they_may(spark):
+    frames = {"revenue_waterfall": spark.createDataFrame(
+        [("FY1", 100, 5.0, 7), ("FY2", 200, 6.0, 8)], "fiscal_quarter STRING, ending_arr INT, qoq_growth_pct DOUBLE, churn_arr INT")}
+    for fact in ("closing ARR", "growth rate"):
+        with pytest.raises(ValueError):
+            semantic.metric(frames, fact)
+    assert semantic.metric(frames, "lost ARR").first()[0] == 15
+    assert semantic.metric(frames, ["closing ARR", "growth rate"], where={"FQ": "FY2"}).first()[:] == (200, 6.0)

@@ -1,27 +1,21 @@
 from quarterlens.operators import reporting
 from quarterlens.plans.model import RevenueModel
-from quarterlens.plans.sql import register_views, run_stored
+from quarterlens.plans.sql import ask, register_views
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_stored_sql_matches_dataframe_operators(spark):
+def test_views_and_standing_questions(spark):
     m = RevenueModel.from_driver(spark, SF)
     assert "fct_revenue_waterfall" in register_views(m)
     fq = "FY1997-Q3"
-    one = run_stored(spark, "bad_quarter_waterfall", fq=fq).collect()
-    assert [tuple(r) for r in one] == \
-        [tuple(r) for r in m.waterfall.where(f"fiscal_quarter = '{fq}'").collect()]
-    growth = run_stored(spark, "quarterly_growth").collect()
+    one = ask(m, "waterfall_of_quarter", fq=fq).collect()
+    bound = spark.sql("SELECT * FROM fct_revenue_waterfall WHERE fiscal_quarter = :fq", args={"fq": fq})
+    assert [tuple(r) for r in one] == [tuple(r) for r in bound.collect()] and len(one) == 1
+    growth = ask(m, "growth_by_quarter").collect()
     assert [r.fiscal_quarter for r in growth] == sorted(r.fiscal_quarter for r in growth)
-    assert len(growth) == m.waterfall.count()
-    detail = {r.movement_type: (r.customers, r.arr_delta)
-              for r in run_stored(spark, "movement_detail", fq=fq).collect()}
-    want = {r.movement_type: (r.customers, r.arr_delta)
-            for r in reporting.movement_detail(m.arr_movements)
+    want = {r.movement_type: r.arr_delta for r in reporting.movement_detail(m.arr_movements)
             .where(f"fiscal_quarter = '{fq}'").collect()}
-    assert detail == want
-    nrr = run_stored(spark, "close_nrr", fq=fq).collect()
-    assert len(nrr) == m.nrr_cohorts.where(f"fiscal_quarter = '{fq}'").count()
-    # a bound value is data, not SQL text
-    assert run_stored(spark, "close_summary", fq="x' OR '1'='1").count() == 0
+    assert {r.movement_type: r.arr_delta for r in ask(m, "movements_of_quarter", fq=fq).collect()} == want
+    assert ask(m, "retention_of_quarter", fq=fq).count() == m.nrr_cohorts.where(f"fiscal_quarter = '{fq}'").count()
+    assert ask(m, "headline_of_quarter", fq="x' OR '1'='1").count() == 0

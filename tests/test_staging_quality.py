@@ -57,7 +57,7 @@ def test_fixture_counts(spark):
     assert (audit.total_rows, audit.missing_tier_rows) == (99400, 1029)
     dim = m.dim_customers
     assert dim.count() == 1500
-    assert dim.where(F.col("signup_fiscal_quarter").isNull()).count() == 177
+    assert dim.where(F.col("signup_fiscal_quarter").isNull() & F.col("signup_date").isNotNull()).count() == 0
 
 
 def test_declared_checks_pass_on_fixture(spark):
@@ -80,3 +80,34 @@ def test_checks_detect_failures(spark):
     assert (grain.total_rows, grain.distinct_keys, grain.duplicated_keys) == (4, 3, 1)
     audit = quality.dedup_audit("t", df, df.dropDuplicates(["customer_id"])).first()
     assert (audit.rows_in, audit.rows_out, audit.rows_removed) == (4, 3, 1)
+
+
+def test_fused_checks_equal_the_single_ones(spark):
+    def sub(rows):
+        return spark.createDataFrame(rows, "subscription_id STRING, customer_id BIGINT, status STRING")
+    bad = sub([("a", 1, "active"), ("a", None, "paused"), (None, 2, "gone"), (None, 3, None), ("b", 4, "paused")])
+    fused = {(r.check_name, r.column_name): r.failures for r in quality.check_table("stg_subscriptions", bad).collect()}
+    assert fused == {("not_null", "subscription_id"): 2, ("not_null", "customer_id"): 1,
+                     ("unique", "subscription_id"): 1, ("accepted_values", "status"): 2}
+    empty = quality.check_table("stg_subscriptions", bad.limit(0)).collect()
+    assert len(empty) == 4 and all(r.failures == 0 for r in empty)
+
+
+def test_status_of_a_row_without_a_month_counts_as_latest(spark):
+    from quarterlens.operators.customers import customer_activity
+    subs = spark.createDataFrame([(1, d("2023-05-01"), "active"), (1, None, "churned"), (2, d("2023-05-01"), "active")],
+                                 "customer_id BIGINT, month DATE, status STRING")
+    assert {r.customer_id: r.current_status for r in customer_activity(subs).collect()} == {1: "churned", 2: "active"}
+
+
+def test_queries_without_a_calendar_plan_without_a_job(spark):
+    from quarterlens.plans.registry import queries
+    tracker, group = spark.sparkContext.statusTracker(), "no-job-while-planning"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        for key in ("stg_customers", "stg_subscriptions", "stg_invoices", "stg_usage_events", "late_invoices",
+                    "dq_dedup_audit"):
+            queries()[key](spark, "/root/testdata/sf0.001")
+        assert list(tracker.getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
