@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ERROR_RATE = 0.06
+ERROR_RATE = 0.08
 BLOCK_CHARS = 2_000_000
 
 _GAP = re.compile(r"[\W_]+")

@@ -136,9 +136,14 @@ def train(docs: DataFrame) -> tuple | None:
     spark = docs.sparkSession
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~_held_out()
                        & F.col("text").rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id")
-    ids = (known.select("doc_id", "lang").withColumn("rank", F.row_number().over(order))
-           .where(F.col("rank") <= TRAIN_PER_LANG))
+    # A hash threshold leaves about four times the sample of each language, so
+    # that ranking a language with most of the rows stays a small task.
+    place = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 31))
+    rows = known.select("doc_id", "lang").withColumn("place", place)
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"))
+    order = Window.partitionBy("lang").orderBy("place", "doc_id")
+    ids = (rows.join(sizes, "lang").where(F.col("place") * F.col("rows") <= float(4 * TRAIN_PER_LANG << 31))
+           .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= TRAIN_PER_LANG))
     ids = [(r["doc_id"], r["lang"], r["rank"]) for r in ids.collect()]
     if not ids:
         return None

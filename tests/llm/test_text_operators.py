@@ -42,7 +42,7 @@ def test_pigeonhole_misses_nothing(item, around, edits):
         if damaged:
             damaged[e % len(damaged)] = "x"
     text = around + " " + "".join(damaged) + " " + around
-    budget = int(len(norm) * 0.06)
+    budget = int(len(norm) * decontaminate.ERROR_RATE)
     found = dict(decontaminate.Matcher([(1, item)]).find(text))
     full = f" {decontaminate.normalise(text)} "
     want = edit_substring(norm if budget else f" {norm} ", full) if norm else 99
