@@ -235,20 +235,22 @@ def nearest(embeddings: DataFrame, k: int = K, query_mod: int = QUERY_MOD) -> Da
         .groupBy("embedding", "dim").agg(F.min("vec_id").alias("rep"), F.collect_list("vec_id").alias("members")),
         "ann-classes")
     queries = valid.where(F.col("vec_id") % query_mod == 0)
+    tasks = int(embeddings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     per = classes.groupBy("dim").agg(F.ceil(F.count("*") / SHARD).cast("long").alias("shards"))
     asked = queries.groupBy("dim").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("long").alias("blocks"))
     sizes = per.join(asked, "dim", "left")  # a row per vector length
     deal = lambda c, n: F.pmod(F.xxhash64(c, F.lit(3)), F.col(n))
     graphs = materialize(
         classes.join(sizes, "dim").select("dim", deal("rep", "shards").alias("shard"), "rep", "embedding")
-        .groupBy("dim", "shard").applyInArrow(_build_shard, _GRAPH), "ann-graphs")
+        # By number: adaptive execution would put many shards, small in bytes, into one task.
+        .repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInArrow(_build_shard, _GRAPH), "ann-graphs")
     here = (graphs.join(sizes, "dim").where("blocks is not null")
             .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("shards", "blocks"))
     there = (queries.join(sizes, "dim")
              .select("dim", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"),
                      deal("vec_id", "blocks").alias("block"), F.col("vec_id").alias("query_id"), "embedding"))
     keys = ["dim", "shard", "block"]
-    found = (there.groupBy(*keys).cogroup(here.groupBy(*keys))
+    found = (there.repartition(tasks, *keys).groupBy(*keys).cogroup(here.repartition(tasks, *keys).groupBy(*keys))
              .applyInArrow(_search_shard(k), "query_id long, rep long, score double"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.join(classes.select("rep", "members"), "rep")
