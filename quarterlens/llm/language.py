@@ -142,7 +142,8 @@ def train(docs: DataFrame) -> tuple | None:
     rows = known.select("doc_id", "lang").withColumn("place", place)
     sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"))
     order = Window.partitionBy("lang").orderBy("place", "doc_id")
-    ids = (rows.join(sizes, "lang").where(F.col("place") * F.col("rows") <= float(4 * TRAIN_PER_LANG << 31))
+    # One row per language, as many as the model has; a shuffle join would move all rows by language.
+    ids = (rows.join(F.broadcast(sizes), "lang").where(F.col("place") * F.col("rows") <= float(4 * TRAIN_PER_LANG << 31))
            .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= TRAIN_PER_LANG))
     ids = [(r["doc_id"], r["lang"], r["rank"]) for r in ids.collect()]
     if not ids:
