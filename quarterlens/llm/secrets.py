@@ -43,8 +43,8 @@ SENSITIVE = {
 }
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _PAIR = re.compile(
-    r"""(?<![\w.-])(?P<quote>["']?)(?P<name>[A-Za-z_][\w.-]{0,80})(?P=quote)\s{0,4}(?::=|=>|=(?!=)|:(?!:))[ \t]{0,4}"""
-    r"""(?:"(?P<dq>[^"\n]{1,4096})"|'(?P<sq>[^'\n]{1,4096})'|(?P<ref>[A-Za-z_][\w.]{0,80})(?![\w+/=-])|(?P<bare>[\w+/=.-]{8,4096}))""",
+    r"""(?<![\w.-])(?P<quote>["']?)(?P<name>[A-Za-z_][\w.-]*)(?P=quote)\s{0,4}(?::=|=>|=(?!=)|:(?!:))[ \t]{0,4}"""
+    r"""(?:"(?P<dq>[^"\n]+)"|'(?P<sq>[^'\n]+)'|(?P<ref>[A-Za-z_][\w.]*)(?![\w+/=-])|(?P<bare>[\w+/=.-]{8,}))""",
     re.ASCII)
 
 
@@ -76,6 +76,24 @@ def randomness(literal: str) -> float:
     return min(1.0, entropy / min(math.log2(n), 4.5)) * (0.4 + 0.2 * min(kinds, 3))
 
 
+def propagated(names: set[str], flows: dict[str, set[str]]) -> dict[str, float]:
+    """For each name the best sensitivity among the names that it flows to, its own included."""
+    into: dict[str, list[str]] = {}
+    for name, targets in flows.items():
+        for target in targets:
+            into.setdefault(target, []).append(name)
+    own = {name: sensitivity(name) for name in names.union(flows, into)}
+    worth: dict[str, float] = {}
+    for best in sorted(own, key=own.get, reverse=True):  # so the first score that reaches a name is its best
+        todo = [best]
+        while todo:
+            name = todo.pop()
+            if name not in worth:
+                worth[name] = own[best]
+                todo += into.get(name, ())
+    return worth
+
+
 def lexed_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of literals that reach a sensitive name."""
     if ":" not in text and "=" not in text:
@@ -89,25 +107,13 @@ def lexed_spans(text: str) -> list[tuple[str, int, int]]:
             at = m.start(kind)  # the reference may be the name of the next pair
         if kind != "ref" or len(m[kind]) >= 8:
             literals.append((m["name"], m[kind], m.start(kind), m.end(kind)))
-    worth: dict[str, float] = {}
-
-    def reach(name: str) -> float:
-        """The best sensitivity among all names that this one flows to."""
-        if name not in worth:
-            seen, todo = {name}, [name]
-            while todo:
-                new = flows.get(todo.pop(), set()) - seen
-                seen |= new
-                todo += new
-            worth[name] = max(map(sensitivity, seen))
-        return worth[name]
-
+    worth = propagated({name for name, *_ in literals}, flows)
     defined = {name for name, *_ in literals}
     out = []
     for name, literal, start, end in literals:
         if literal in defined and literal in flows:
             continue  # a use of another constant, not a literal
-        score = reach(name)
+        score = worth[name]
         if score and score * randomness(literal) >= MIN_SCORE:
             out.append(("lexed", start, end))
     return out

@@ -117,6 +117,15 @@ def test_lexing_propagates_constants():
     assert secrets.redact('x; K = "q8Zr1xT0vLp3"\ndb_credentials = K') == 'x; K = "[REDACTED]"\ndb_credentials = K'
 
 
+def test_long_names_literals_and_chains():
+    value = "".join(chr(97 + (i * 7 + i // 26) % 26) + str(i % 10) for i in range(4000))
+    assert lexed(f"pwd = '{value}'") == [value]
+    assert lexed(f'{"long_" * 30}credentials = "q8Zr1xT0vLp3"') == ["q8Zr1xT0vLp3"]
+    chain = 'v0 = "q8Zr1xT0vLp3"\n' + "".join(f"v{i + 1} = v{i}\n" for i in range(20_000)) + "auth = v20000\n"
+    assert lexed(chain) == ["q8Zr1xT0vLp3"]
+    assert secrets.propagated({"a", "b"}, {"a": {"b"}, "b": {"a", "pwd"}}) == {"a": 0.9, "b": 0.9, "pwd": 0.9}
+
+
 def test_redaction_and_odd_rows(spark, odd_documents):
     assert secrets.scan_secrets(odd_documents).count() == odd_documents.count()
     out = secrets.redact_secrets(odd_documents)
