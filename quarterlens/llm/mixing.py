@@ -11,7 +11,7 @@ that fits, and the rest goes, once more, to documents in a seeded hash order.
 Only sums per pattern reach the driver; their number is that of distinct
 source sets, not of documents.  The seeded order is cut by bucket sums: whole
 hash buckets below the cut are in, and only the one bucket at the cut, of about
-``BUCKET_DOCS`` documents, is walked in order.
+``BUCKET_DOCS`` documents, is walked in order, equal rows together.
 
 Edge cases: a null source is a source of its own, last in order; a null or
 blank text has size 0 and is taken 0 times; equal doc_ids hash alike but are
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,18 +126,20 @@ def select_words(docs: DataFrame, flow: dict, totals: dict, counts: dict, seed:
     below = F.col("before") + F.col("words") <= F.col("rest")
     inside = (~below) & (F.col("before") < F.col("rest"))
 
-    def walk(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["order", "doc_id", "size"], kind="stable")
-        room, extra = int(frame["rest"].iloc[0] - frame["before"].iloc[0]), []
-        for size in frame["size"]:
-            fits = 0 < size <= room
-            room -= size if fits else 0
-            extra.append(int(fits))
-        return frame.assign(extra=extra)
-
-    walked = placed.where(inside)
-    schema = T.StructType([*walked.schema.fields, T.StructField("extra", T.IntegerType())])
-    walked = walked.groupBy("pattern", "bucket").applyInPandas(walk, schema)
+    def walk(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(c, "ascending") for c in ("order", "doc_id", "size")])
+        room, fits = rows["rest"][0].as_py() - rows["before"][0].as_py(), []
+        for size, copies in zip(rows["size"].to_pylist(), rows["copies"].to_pylist()):
+            fits.append(min(copies, room // size) if size else 0)
+            room -= size * fits[-1]
+        return rows.append_column("fits", pa.array(fits, pa.int64()))
+
+    # Rows that hash alike because they are alike are walked as one row with a count.
+    walked = placed.where(inside).groupBy(*placed.columns).agg(F.count("*").alias("copies"))
+    schema = T.StructType([*walked.schema.fields, T.StructField("fits", T.LongType())])
+    walked = (walked.groupBy("pattern", "bucket").applyInArrow(walk, schema)
+              .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+              .withColumn("extra", (F.col("copy") <= F.col("fits")).cast("int")).drop("copy", "copies", "fits"))
     others = placed.where(~inside).withColumn("extra", below.cast("int"))
     return (others.unionByName(walked)
             .withColumn("taken", F.col("size") * (F.col("whole") + F.col("extra")))

@@ -128,6 +128,18 @@ def test_mix_cut_inside_many_buckets(spark, monkeypatch):
         assert abs(sum(r.taken for r in mine) - mine[0].target) <= 7
 
 
+def test_mix_walks_equal_rows_of_a_hot_key_together(spark):
+    docs = spark.range(9000).selectExpr("if(id % 3 = 0, id, null) as doc_id", "'one two' as text",
+                                        "if(id % 4 = 0, 'b', 'a') as source")
+    rows = mixing.mix_sources(docs).collect()
+    assert len(rows) == 9000 and {r.size for r in rows} == {2}
+    assert Counter(r.doc_id for r in rows) == Counter(r.doc_id for r in docs.collect())
+    for s in "ab":
+        mine = [r for r in rows if r.source == s]
+        assert all(r.taken in (0, 2, 4, 6) for r in mine)
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 2
+
+
 def test_flow_prefers_fresh_words_and_uses_overlap():
     flow = mixing.min_cost_flow({("a",): 10, ("a", "b"): 10, ("b",): 2}, {"a": 12, "b": 11})
     to = Counter()
