@@ -19,8 +19,9 @@ whole, long ones in pieces that overlap by two bytes.
 Edge cases: a text that is null or has no letter is ``und`` with score 0, and
 so is every text if nothing could be learned; rows with a null doc_id are
 scored but not learned from, and not held out; a null lang is not learned;
-repeated rows give repeated results; extra columns are ignored by
-``identify`` and kept by ``known_language``.
+repeated rows give repeated results, and of rows with equal doc_id and lang the
+smallest text alone is learned; extra columns are ignored by ``identify`` and
+kept by ``known_language``.
 """
 
 from __future__ import annotations
@@ -144,12 +145,15 @@ def train(docs: DataFrame) -> tuple | None:
     order = Window.partitionBy("lang").orderBy("place", "doc_id")
     # One row per language, as many as the model has; a shuffle join would move all rows by language.
     ids = (rows.join(F.broadcast(sizes), "lang").where(F.col("place") * F.col("rows") <= float(4 * TRAIN_PER_LANG << 31))
+           .dropDuplicates(["doc_id", "lang"])
            .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= TRAIN_PER_LANG))
     ids = [(r["doc_id"], r["lang"], r["rank"]) for r in ids.collect()]
     if not ids:
         return None
-    chosen = spark.createDataFrame(ids, "doc_id long, lang string, rank int").dropDuplicates(["doc_id", "lang"])
-    sample = known.join(F.broadcast(chosen), ["doc_id", "lang"])
+    chosen = spark.createDataFrame(ids, "doc_id long, lang string, rank int")
+    # Of rows that share doc_id and lang one is learned, however many there are.
+    sample = (known.join(F.broadcast(chosen), ["doc_id", "lang"])
+              .groupBy("lang", "rank").agg(F.min("text").alias("text")))
 
     def grams(batches):
         for batch in batches:
