@@ -10,7 +10,8 @@ Within a shard the inner product is turned into a distance by one more
 coordinate that gives all vectors the same length.
 
 Every query beam-searches every shard (in blocks of ``QUERY_BLOCK`` queries)
-and the shards' best are merged.  Reported scores are computed anew in double
+and the shards' best are merged.  A graph moves once per block, so a block is
+as many queries as fit a task.  Reported scores are computed anew in double
 precision on the original vectors.  Work is the number of queries times the
 number of shards times about the logarithm of a shard.
 
@@ -39,7 +40,7 @@ SEARCH_BEAM = 160
 WIDTH = 4
 ALPHA = 1.2
 BATCH = 512
-QUERY_BLOCK = 4096
+QUERY_BLOCK = 32768
 K = 20
 QUERY_MOD = 20
 
