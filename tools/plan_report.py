@@ -3,7 +3,8 @@
 For each query: shuffles (hash / single-partition), broadcasts, join
 strategies, aggregate kinds, windows, parquet scans with their read schema,
 and whether any Python evaluation appears.  Plans are taken after one run,
-so adaptive execution has settled (final plan).
+so adaptive execution has settled (final plan).  Automatic broadcasts are off,
+so that small test tables show the joins that large ones get.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ KEYS = ["waterfall", "arr_movements", "monthly_snapshots", "dim_customers", "stg
         "nrr_cohorts", "nrr_cohorts_qend", "dq_not_null"]
 
 PATTERNS = {
+    "parquet scans": r"FileScan parquet",
     "hash shuffles": r"Exchange hashpartitioning",
     "single-partition shuffles": r"Exchange SinglePartition",
     "reused shuffles": r"ReusedExchange",
@@ -37,9 +39,21 @@ PATTERNS = {
 }
 
 
+def final_form(plan: str) -> str:
+    """The plan without the initial forms that it and each of its subqueries print after the final ones."""
+    out, initial = [], None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if initial is not None and depth >= initial:
+            continue
+        initial = depth if "== Initial Plan ==" in line else None
+        if initial is None:
+            out.append(line)
+    return "\n".join(out)
+
+
 def summarise(plan: str) -> tuple[Counter, list[str]]:
-    # An adaptive plan prints its final form first, then the initial one.
-    plan = re.split(r"== Initial Plan ==", plan)[0]
+    plan = final_form(plan)
     counts = Counter({k: len(re.findall(p, plan)) for k, p in PATTERNS.items()})
     scans = sorted(set(re.findall(r"file:[^\]]*/(\w+)\.parquet\].*?ReadSchema: (struct<[^>]*>)",
                                   plan)))
@@ -49,8 +63,10 @@ def summarise(plan: str) -> tuple[Counter, list[str]]:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(8, 16)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     out = [f"# Physical plans of the headline queries\n\nGenerated by `tools/plan_report.py` "
-           f"on `{sf_dir}` (local[8], AQE on; final adaptive plans after one run).\n"]
+           f"on `{sf_dir}` (local[8], AQE on, automatic broadcast off; final adaptive plans after one run).\n"]
     q = queries()
     for key in KEYS:
         df = q[key](spark, sf_dir)
