@@ -17,12 +17,17 @@ Candidates come in three steps, all linear in the number of nodes:
 3. each run that still spans several components has the pairs between them
    compared.  The depth adapts to the region: a run is used at the smallest
    depth at which at most ``MINORS`` of its nodes lie outside its largest
-   component, and at the greatest depth whatever its size.  Pairs inside one
-   component are never formed, so a group of copies costs nothing here.
+   component, and at the greatest depth whatever its size.  A deep run is
+   shared less often, so the nodes of the regions that need the greatest depth
+   are also sorted by ``DENSE_TREES`` further orders of that depth.  Pairs
+   inside one component are never formed, so a group of copies costs nothing
+   here.
 
 Every link is confirmed on full shingle sets (64-bit hashes of the shingles).
 At a similarity of exactly 0.75 two nodes share no run of depth 4 in any of
-the 32 orders with probability 5e-6, and no run of depth 7 with 1e-2 (dense regions only, after the first two steps).
+the 32 orders with probability 5e-6, no run of depth 7 with 1e-2, and none of
+depth 12 with 36% in 32 orders but 1.6% with the further ones; the last two
+concern dense regions only, and links that no shallower run of any order shows.
 
 Edge cases: a null, empty or blank text has an empty set and links with
 nothing; rows with equal doc_id count as one document; a row with a null
@@ -42,28 +47,40 @@ from quarterlens.llm.components import connected_components
 from quarterlens.llm.textkernel import mix, shingle_set, word_hashes
 
 TREES = 32
+DENSE_TREES = 96
 DEPTHS = (4, 7, 12)
 MINORS = 16
 PICKS = 4
 MIN_PERCENT = 75
 
-_rng = np.random.default_rng(20240601)
-_MUL = (_rng.integers(0, 1 << 32, size=(TREES * DEPTHS[-1], 1), dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
-_ADD = _rng.integers(0, 1 << 32, size=(TREES * DEPTHS[-1], 1), dtype=np.uint64).astype(np.uint32)
 
+class Orders:
+    """Permutations of a number of MinHash orders, the first of which has the number ``first``."""
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """(TREES, depth) minima of the permuted shingle hashes."""
+    def __init__(self, trees: int, first: int, seed: int):
+        rng = np.random.default_rng(seed)
+        shape = (trees * DEPTHS[-1], 1)
+        self.mul = (rng.integers(0, 1 << 32, size=shape, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
+        self.add = rng.integers(0, 1 << 32, size=shape, dtype=np.uint64).astype(np.uint32)
+        self.numbers = np.arange(first, first + trees, dtype=np.uint64)
+
+
+FOREST = Orders(TREES, 1, 20240601)
+DENSE_FOREST = Orders(DENSE_TREES, TREES + 1, 20240602)
+
+
+def signature(shingles: np.ndarray, orders: Orders = FOREST) -> np.ndarray:
+    """(orders, depth) minima of the permuted shingle hashes."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)[None, :]
-    out = np.full(len(_MUL), 0xFFFFFFFF, dtype=np.uint32)
+    out = np.full(len(orders.mul), 0xFFFFFFFF, dtype=np.uint32)
     for at in range(0, x.shape[1], 2048):
-        np.minimum(out, (_MUL * x[:, at:at + 2048] + _ADD).min(axis=1), out=out)
-    return out.reshape(TREES, DEPTHS[-1])
+        np.minimum(out, (orders.mul * x[:, at:at + 2048] + orders.add).min(axis=1), out=out)
+    return out.reshape(len(orders.numbers), DEPTHS[-1])
 
 
-def prefix_keys(sig: np.ndarray) -> np.ndarray:
-    """(len(DEPTHS), TREES) keys: one per order and prefix depth."""
-    key = mix(np.arange(1, TREES + 1, dtype=np.uint64))
+def prefix_keys(sig: np.ndarray, orders: Orders = FOREST) -> np.ndarray:
+    """(len(DEPTHS), orders) keys: one per order and prefix depth."""
+    key = mix(orders.numbers)
     keys = []
     for depth in range(DEPTHS[-1]):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, depth].astype(np.uint64) + np.uint64(1))
@@ -112,6 +129,19 @@ def _sets(batches):
             names=["node", "shingles"])
 
 
+def _dense_keys(batches):
+    """The keys of the greatest depth in the further orders, for rows (node, n, component, shingles)."""
+    for batch in batches:
+        column = batch.column(3)
+        flat = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
+        keys = np.zeros((batch.num_rows, DENSE_TREES), dtype=np.uint64)
+        for i, shingles in enumerate(np.split(flat, ends)[:-1]):
+            keys[i] = prefix_keys(signature(shingles, DENSE_FOREST), DENSE_FOREST)[-1]
+        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), _long_lists(keys)],
+                                         names=["node", "n", "component", "keys"])
+
+
 def _similar_sizes(a: str, b: str):
     return F.col(a) * 100 >= F.col(b) * MIN_PERCENT, F.col(b) * 100 >= F.col(a) * MIN_PERCENT
 
@@ -170,10 +200,21 @@ def _outsiders(runs: DataFrame) -> DataFrame:
             .select(F.col("node").alias("a"), F.col("pick").alias("b")))
 
 
-def _between(runs: DataFrame) -> DataFrame:
+def _further_runs(runs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The runs of the greatest depth that the nodes of ``runs`` have in the further orders."""
+    dense = runs.select("node", "n", "component").distinct()
+    return (dense.join(sets, "node").select("node", "n", "component", "shingles")
+            .mapInArrow(_dense_keys, "node long, n long, component long, keys array<long>")
+            .select("node", "n", "component", F.explode("keys").alias(_KEYS[-1])))
+
+
+def _between(runs: DataFrame, sets: DataFrame) -> DataFrame:
     """Step 3: pairs of nodes of one run but of different components."""
     pairs = None
     for key in _KEYS:
+        if key == _KEYS[-1]:
+            runs = materialize(runs.select("node", "n", "component", key).unionByName(_further_runs(runs, sets)),
+                               "dedup-dense")
         open_runs = materialize(runs.join(_regions(runs, key), key), "dedup-region")
         ready = open_runs if key == _KEYS[-1] else open_runs.where(F.col("minors") <= MINORS)
         minor = (ready.where("component != major")
@@ -219,7 +260,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .mapInArrow(_sets, "node long, shingles array<long>"), "dedup-sets")
 
     found = connected_components(_verified(_heads(runs), sets), "dedup-cc")
-    for candidates in (_outsiders, _between):
+    for candidates in (_outsiders, lambda parts: _between(parts, sets)):
         parts = materialize(runs.join(found.withColumnRenamed("component", "c"), "node", "left")
                             .select("node", "n", *_KEYS, F.coalesce("c", "node").alias("component")), "dedup-parts")
         found = _contracted(found, _verified(candidates(parts), sets))
