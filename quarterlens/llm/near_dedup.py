@@ -7,7 +7,7 @@ keys at the depths ``DEPTHS``: the nodes that share a key are one run of the
 order, and the run of the deepest shared key holds the longest-common-prefix
 neighbours.
 
-Candidates come in three steps, all linear in the number of nodes:
+Candidates come in four steps:
 
 1. each node meets, of the heads of its runs at all depths, the one it shares
    most runs with.  This contracts copies and dense regions into components;
@@ -17,11 +17,14 @@ Candidates come in three steps, all linear in the number of nodes:
 3. each run that still spans several components has the pairs between them
    compared.  The depth adapts to the region: a run is used at the smallest
    depth at which at most ``MINORS`` of its nodes lie outside its largest
-   component, and at the greatest depth whatever its size.  A deep run is
-   shared less often, so the nodes of the regions that need the greatest depth
-   are also sorted by ``DENSE_TREES`` further orders of that depth.  Pairs
-   inside one component are never formed, so a group of copies costs nothing
-   here.
+   component, and at the greatest depth whatever its size.  Pairs inside one
+   component are never formed, so a group of copies costs nothing here;
+4. a deep run is shared less often, so the nodes of the regions that needed the
+   greatest depth are sorted by ``DENSE_TREES`` further orders of that depth,
+   and the pairs not yet tried are compared as in step 3.
+
+Steps 1 and 2 are linear in the number of nodes; steps 3 and 4 are too while
+the runs of the greatest depth stay small, and are never cut where they do not.
 
 Every link is confirmed on full shingle sets (64-bit hashes of the shingles).
 At a similarity of exactly 0.75 two nodes share no run of depth 4 in any of
@@ -130,16 +133,16 @@ def _sets(batches):
 
 
 def _dense_keys(batches):
-    """The keys of the greatest depth in the further orders, for rows (node, n, component, shingles)."""
+    """The keys of the greatest depth in the further orders, for rows (node, n, shingles)."""
     for batch in batches:
-        column = batch.column(3)
+        column = batch.column(2)
         flat = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
         ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
         keys = np.zeros((batch.num_rows, DENSE_TREES), dtype=np.uint64)
         for i, shingles in enumerate(np.split(flat, ends)[:-1]):
             keys[i] = prefix_keys(signature(shingles, DENSE_FOREST), DENSE_FOREST)[-1]
-        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), _long_lists(keys)],
-                                         names=["node", "n", "component", "keys"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _long_lists(keys)],
+                                         names=["node", "n", "keys"])
 
 
 def _similar_sizes(a: str, b: str):
@@ -200,34 +203,45 @@ def _outsiders(runs: DataFrame) -> DataFrame:
             .select(F.col("node").alias("a"), F.col("pick").alias("b")))
 
 
-def _further_runs(runs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The runs of the greatest depth that the nodes of ``runs`` have in the further orders."""
-    dense = runs.select("node", "n", "component").distinct()
-    return (dense.join(sets, "node").select("node", "n", "component", "shingles")
-            .mapInArrow(_dense_keys, "node long, n long, component long, keys array<long>")
-            .select("node", "n", "component", F.explode("keys").alias(_KEYS[-1])))
+def _across(ready: DataFrame, key: str) -> DataFrame:
+    """The pairs of nodes of one run but of different components, of similar sizes."""
+    minor = (ready.where("component != major")
+             .select(key, F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")))
+    near, far = _similar_sizes("na", "n")
+    return (minor.join(ready, key)
+            .where((F.col("component") != F.col("ca")) & near & far
+                   & ((F.col("component") == F.col("major")) | (F.col("a") < F.col("node"))))
+            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")))
 
 
-def _between(runs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Step 3: pairs of nodes of one run but of different components."""
+def _between(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Step 3: the pairs, and the nodes (node, n) whose regions needed the greatest depth."""
     pairs = None
     for key in _KEYS:
         if key == _KEYS[-1]:
-            runs = materialize(runs.select("node", "n", "component", key).unionByName(_further_runs(runs, sets)),
-                               "dedup-dense")
+            dense = runs.select("node", "n").distinct()
         open_runs = materialize(runs.join(_regions(runs, key), key), "dedup-region")
         ready = open_runs if key == _KEYS[-1] else open_runs.where(F.col("minors") <= MINORS)
-        minor = (ready.where("component != major")
-                 .select(key, F.col("node").alias("a"), F.col("n").alias("na"),
-                         F.col("component").alias("ca")))
-        near, far = _similar_sizes("na", "n")
-        met = (minor.join(ready, key)
-               .where((F.col("component") != F.col("ca")) & near & far
-                      & ((F.col("component") == F.col("major")) | (F.col("a") < F.col("node"))))
-               .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")))
+        met = _across(ready, key)
         pairs = met if pairs is None else pairs.unionByName(met)
         runs = open_runs.where(F.col("minors") > MINORS).drop("major", "minors")
-    return pairs.distinct()
+    return materialize(pairs.distinct(), "dedup-pairs"), dense
+
+
+def _further(dense: DataFrame, found: DataFrame, sets: DataFrame, tried: DataFrame) -> DataFrame:
+    """Step 4: the pairs that the further orders show and that were not ``tried``."""
+    key = _KEYS[-1]
+    forest = (dense.join(sets, "node").select("node", "n", "shingles")
+              .mapInArrow(_dense_keys, "node long, n long, keys array<long>")
+              .select("node", "n", F.explode("keys").alias(key)))
+    runs = materialize(_with_components(forest, found, key), "dedup-dense")
+    return _across(runs.join(_regions(runs, key), key), key).distinct().join(tried, ["a", "b"], "left_anti")
+
+
+def _with_components(runs: DataFrame, found: DataFrame, *keys: str) -> DataFrame:
+    """``runs`` with each node's component, itself where none was found."""
+    return (runs.join(found.withColumnRenamed("component", "c"), "node", "left")
+            .select("node", "n", *keys, F.coalesce("c", "node").alias("component")))
 
 
 def _contracted(found: DataFrame, links: DataFrame) -> DataFrame:
@@ -260,10 +274,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .mapInArrow(_sets, "node long, shingles array<long>"), "dedup-sets")
 
     found = connected_components(_verified(_heads(runs), sets), "dedup-cc")
-    for candidates in (_outsiders, lambda parts: _between(parts, sets)):
-        parts = materialize(runs.join(found.withColumnRenamed("component", "c"), "node", "left")
-                            .select("node", "n", *_KEYS, F.coalesce("c", "node").alias("component")), "dedup-parts")
-        found = _contracted(found, _verified(candidates(parts), sets))
+    parts = materialize(_with_components(runs, found, *_KEYS), "dedup-parts")
+    found = _contracted(found, _verified(_outsiders(parts), sets))
+    parts = materialize(_with_components(runs, found, *_KEYS), "dedup-parts")
+    pairs, dense = _between(parts)
+    found = _contracted(found, _verified(pairs, sets))
+    if not dense.isEmpty():
+        found = _contracted(found, _verified(_further(dense, found, sets, pairs), sets))
     of_class = (nodes.select(*classes, "node").join(found, "node", "left")
                 .select(*classes, F.coalesce("component", "node").alias("component_id")))
     ids = profiles.select("doc_id", *classes)
