@@ -280,6 +280,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs, dense = _between(parts)
     found = _contracted(found, _verified(pairs, sets))
     if not dense.isEmpty():
+        sets = materialize(sets.join(dense, "node", "left_semi"), "dedup-dense-sets")
         found = _contracted(found, _verified(_further(dense, found, sets, pairs), sets))
     of_class = (nodes.select(*classes, "node").join(found, "node", "left")
                 .select(*classes, F.coalesce("component", "node").alias("component_id")))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -66,6 +67,25 @@ def test_dense_region_and_its_outliers(spark):
     assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()} == want
 
 
+def test_links_between_near_misses(spark):
+    """Texts of similarity 0.695 to each other, some with one partner at 0.754: the further orders find it."""
+    rnd = random.Random(3)
+    fresh = lambda k: [f"w{rnd.randrange(10 ** 7)}" for _ in range(k)]
+    shared, rows, want = fresh(150), [], {}
+    for i in range(400):
+        words = shared + fresh(32)
+        rows.append((2 * i, " ".join(words)))
+        want[2 * i] = 2 * i
+        if i % 5 == 0:
+            rows.append((2 * i + 1, " ".join(words[:-25] + fresh(25))))
+            want[2 * i + 1] = 2 * i
+    a, b, c = (shingles(rows[i][1]) for i in (0, 1, 2))
+    assert len(a & b) / len(a | b) >= 0.75 > 0.7 > len(a & c) / len(a | c)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == want
+
+
 def test_odd_rows(spark, odd_documents):
     got = near_dedup.near_duplicates(odd_documents)
     assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
