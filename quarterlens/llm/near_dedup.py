@@ -14,23 +14,23 @@ Candidates come in four steps:
 2. each node outside the largest component of one of its runs meets, of the
    members that stand for those components in its runs, the ``PICKS`` it shares
    most runs with;
-3. each run that still spans several components has the pairs between them
-   compared.  The depth adapts to the region: a run is used at the smallest
-   depth at which at most ``MINORS`` of its nodes lie outside its largest
-   component, and at the greatest depth whatever its size.  Pairs inside one
-   component are never formed, so a group of copies costs nothing here;
-4. a deep run is shared less often, so the nodes of the regions that needed the
-   greatest depth are sorted by ``DENSE_TREES`` further orders of that depth,
-   and the pairs not yet tried are compared as in step 3.
-
-Steps 1 and 2 are linear in the number of nodes; steps 3 and 4 are too while
-the runs of the greatest depth stay small, and are never cut where they do not.
+3. each run that still spans several components, with at most ``MINORS`` nodes
+   outside its largest one, has the pairs between them compared;
+4. the nodes of the runs of the least depth that were more crowded, and still
+   span several components, are joined exactly, however many they are.  A set's
+   shingles are put in one order, rarest first; two similar sets share one of
+   their first shingles (prefix filter), early enough in both for the overlap
+   that their sizes ask for (position and length filter).  Pairs inside one
+   component are never formed, so a group of copies costs nothing here.  The
+   join is dealt by shingle, and a hot shingle by salts as well.
+
+Steps 1 to 3 are linear in the number of nodes.  Step 4 is not cut: shingles
+that many crowded nodes have among their rarest give as many pairs as they do.
 
 Every link is confirmed on full shingle sets (64-bit hashes of the shingles).
 At a similarity of exactly 0.75 two nodes share no run of depth 4 in any of
-the 32 orders with probability 5e-6, no run of depth 7 with 1e-2, and none of
-depth 12 with 36% in 32 orders but 1.6% with the further ones; the last two
-concern dense regions only, and links that no shallower run of any order shows.
+the 32 orders with probability 5e-6, and only then can their link be missed:
+a shared run of depth 4 is compared in step 3 or joined in step 4.
 
 Edge cases: a null, empty or blank text has an empty set and links with
 nothing; rows with equal doc_id count as one document; a row with a null
@@ -50,40 +50,35 @@ from quarterlens.llm.components import connected_components
 from quarterlens.llm.textkernel import mix, shingle_set, word_hashes
 
 TREES = 32
-DENSE_TREES = 96
 DEPTHS = (4, 7, 12)
 MINORS = 16
 PICKS = 4
 MIN_PERCENT = 75
+#: Buckets of the shingle counts that order the sets of step 4; they shape its cost, not its result.
+COUNT_BITS = 21
+#: Nodes outside the largest component that a salt of a shingle takes.
+SALT_NODES = 256
 
 
-class Orders:
-    """Permutations of a number of MinHash orders, the first of which has the number ``first``."""
+_RNG = np.random.default_rng(20240601)
+_SHAPE = (TREES * DEPTHS[-1], 1)
+_MUL = (_RNG.integers(0, 1 << 32, size=_SHAPE, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
+_ADD = _RNG.integers(0, 1 << 32, size=_SHAPE, dtype=np.uint64).astype(np.uint32)
+_TREE = np.arange(1, TREES + 1, dtype=np.uint64)
 
-    def __init__(self, trees: int, first: int, seed: int):
-        rng = np.random.default_rng(seed)
-        shape = (trees * DEPTHS[-1], 1)
-        self.mul = (rng.integers(0, 1 << 32, size=shape, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
-        self.add = rng.integers(0, 1 << 32, size=shape, dtype=np.uint64).astype(np.uint32)
-        self.numbers = np.arange(first, first + trees, dtype=np.uint64)
 
-
-FOREST = Orders(TREES, 1, 20240601)
-DENSE_FOREST = Orders(DENSE_TREES, TREES + 1, 20240602)
-
-
-def signature(shingles: np.ndarray, orders: Orders = FOREST) -> np.ndarray:
+def signature(shingles: np.ndarray) -> np.ndarray:
     """(orders, depth) minima of the permuted shingle hashes."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)[None, :]
-    out = np.full(len(orders.mul), 0xFFFFFFFF, dtype=np.uint32)
+    out = np.full(len(_MUL), 0xFFFFFFFF, dtype=np.uint32)
     for at in range(0, x.shape[1], 2048):
-        np.minimum(out, (orders.mul * x[:, at:at + 2048] + orders.add).min(axis=1), out=out)
-    return out.reshape(len(orders.numbers), DEPTHS[-1])
+        np.minimum(out, (_MUL * x[:, at:at + 2048] + _ADD).min(axis=1), out=out)
+    return out.reshape(TREES, DEPTHS[-1])
 
 
-def prefix_keys(sig: np.ndarray, orders: Orders = FOREST) -> np.ndarray:
+def prefix_keys(sig: np.ndarray) -> np.ndarray:
     """(len(DEPTHS), orders) keys: one per order and prefix depth."""
-    key = mix(orders.numbers)
+    key = mix(_TREE)
     keys = []
     for depth in range(DEPTHS[-1]):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, depth].astype(np.uint64) + np.uint64(1))
@@ -132,17 +127,31 @@ def _sets(batches):
             names=["node", "shingles"])
 
 
-def _dense_keys(batches):
-    """The keys of the greatest depth in the further orders, for rows (node, n, shingles)."""
+def _shingle_rows(batch):
+    """The sets of a batch of rows (node, n, shingles), in order."""
+    column = batch.column(2)
+    flat = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    return np.split(flat, np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False)))[:-1]
+
+
+def _buckets(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+
+
+def _bucket_counts(batches):
+    counts = np.zeros(1 << COUNT_BITS, dtype=np.int64)
     for batch in batches:
-        column = batch.column(2)
-        flat = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-        ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))
-        keys = np.zeros((batch.num_rows, DENSE_TREES), dtype=np.uint64)
-        for i, shingles in enumerate(np.split(flat, ends)[:-1]):
-            keys[i] = prefix_keys(signature(shingles, DENSE_FOREST), DENSE_FOREST)[-1]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _long_lists(keys)],
-                                         names=["node", "n", "keys"])
+        for shingles in _shingle_rows(batch):
+            np.add.at(counts, _buckets(shingles), 1)
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["bucket", "count"])
+
+
+def prefix(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The shingles, rarest first, of which each similar set has one among its own."""
+    n = len(shingles)
+    length = n + 1 - -(-n * MIN_PERCENT // 100)
+    return shingles[np.lexsort((shingles, counts[_buckets(shingles)]))[:length]]
 
 
 def _similar_sizes(a: str, b: str):
@@ -215,27 +224,56 @@ def _across(ready: DataFrame, key: str) -> DataFrame:
 
 
 def _between(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Step 3: the pairs, and the nodes (node, n) whose regions needed the greatest depth."""
-    pairs = None
+    """Step 3: the pairs, and the rows (node, n, key) of the more crowded runs of the least depth."""
+    pairs = crowded = None
     for key in _KEYS:
-        if key == _KEYS[-1]:
-            dense = runs.select("node", "n").distinct()
         open_runs = materialize(runs.join(_regions(runs, key), key), "dedup-region")
-        ready = open_runs if key == _KEYS[-1] else open_runs.where(F.col("minors") <= MINORS)
-        met = _across(ready, key)
+        met = _across(open_runs.where(F.col("minors") <= MINORS), key)
         pairs = met if pairs is None else pairs.unionByName(met)
         runs = open_runs.where(F.col("minors") > MINORS).drop("major", "minors")
-    return materialize(pairs.distinct(), "dedup-pairs"), dense
-
-
-def _further(dense: DataFrame, found: DataFrame, sets: DataFrame, tried: DataFrame) -> DataFrame:
-    """Step 4: the pairs that the further orders show and that were not ``tried``."""
-    key = _KEYS[-1]
-    forest = (dense.join(sets, "node").select("node", "n", "shingles")
-              .mapInArrow(_dense_keys, "node long, n long, keys array<long>")
-              .select("node", "n", F.explode("keys").alias(key)))
-    runs = materialize(_with_components(forest, found, key), "dedup-dense")
-    return _across(runs.join(_regions(runs, key), key), key).distinct().join(tried, ["a", "b"], "left_anti")
+        crowded = runs.select("node", "n", key) if crowded is None else crowded
+    return pairs.distinct(), crowded
+
+
+def _rarest_first(dense: DataFrame) -> DataFrame:
+    """The prefixes of the sets of ``dense(node, n, shingles)`` as rows (node, n, place, shingle)."""
+    spark = dense.sparkSession
+    found = (dense.mapInArrow(_bucket_counts, "bucket long, count long")
+             .groupBy("bucket").agg(F.sum("count").alias("count")).toArrow())
+    counts = np.zeros(1 << COUNT_BITS, dtype=np.int64)
+    counts[found.column("bucket").to_numpy()] = found.column("count").to_numpy()
+    shared = spark.sparkContext.broadcast(counts)
+
+    def prefixes(batches):
+        for batch in batches:
+            sets = [prefix(s, shared.value) for s in _shingle_rows(batch)]
+            sizes = np.array([len(s) for s in sets], dtype=np.int64)
+            which = pa.array(np.repeat(np.arange(len(sets)), sizes))
+            place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            flat = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(which), batch.column(1).take(which), pa.array(place), pa.array(flat)],
+                names=["node", "n", "place", "shingle"])
+
+    return dense.mapInArrow(prefixes, "node long, n long, place long, shingle long")
+
+
+def _exact(dense: DataFrame, found: DataFrame) -> DataFrame:
+    """Step 4: every pair of nodes of ``dense(node, n, shingles)`` that may be similar, of different components."""
+    rows = materialize(_with_components(_rarest_first(dense), found, "place", "shingle"), "dedup-prefixes")
+    spread = rows.join(_regions(rows, "shingle"), "shingle").withColumn("salts", F.ceil(F.col("minors") / SALT_NODES))
+    ours = (spread.where("component != major")
+            .select("shingle", F.pmod(F.xxhash64("node"), "salts").alias("salt"), F.col("node").alias("a"),
+                    F.col("n").alias("na"), F.col("place").alias("pa"), F.col("component").alias("ca")))
+    theirs = (spread.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+              .select("shingle", "salt", "node", "n", "place", "component", "major"))
+    # The first shingle that two sets share leaves room for the whole overlap that similarity asks for.
+    need = (F.col("na") + F.col("n")) * MIN_PERCENT
+    room = F.least(F.col("na") - F.col("pa"), F.col("n") - F.col("place")) * (100 + MIN_PERCENT)
+    return (ours.join(theirs, ["shingle", "salt"])
+            .where((F.col("component") != F.col("ca")) & (room >= need)
+                   & ((F.col("component") == F.col("major")) | (F.col("a") < F.col("node"))))
+            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
 
 
 def _with_components(runs: DataFrame, found: DataFrame, *keys: str) -> DataFrame:
@@ -277,11 +315,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     parts = materialize(_with_components(runs, found, *_KEYS), "dedup-parts")
     found = _contracted(found, _verified(_outsiders(parts), sets))
     parts = materialize(_with_components(runs, found, *_KEYS), "dedup-parts")
-    pairs, dense = _between(parts)
+    pairs, crowded = _between(parts)
     found = _contracted(found, _verified(pairs, sets))
+    key = _KEYS[0]
+    crowded = _with_components(crowded, found, key)
+    dense = materialize(crowded.join(_regions(crowded, key), key, "left_semi").select("node", "n").distinct(), "dedup-dense")
     if not dense.isEmpty():
-        sets = materialize(sets.join(dense, "node", "left_semi"), "dedup-dense-sets")
-        found = _contracted(found, _verified(_further(dense, found, sets, pairs), sets))
+        sets = materialize(sets.join(dense, "node").select("node", "n", "shingles"), "dedup-dense-sets")
+        tried = materialize(_exact(sets, found), "dedup-exact")
+        found = _contracted(found, _verified(tried, sets))
     of_class = (nodes.select(*classes, "node").join(found, "node", "left")
                 .select(*classes, F.coalesce("component", "node").alias("component_id")))
     ids = profiles.select("doc_id", *classes)

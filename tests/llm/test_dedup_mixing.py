@@ -4,12 +4,15 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quarterlens.llm import mixing, near_dedup
 from quarterlens.llm.components import connected_components
+from quarterlens.llm.textkernel import shingle_set, word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
@@ -86,6 +89,28 @@ def test_links_between_near_misses(spark):
     assert got == want
 
 
+def test_links_of_crowded_runs_that_no_deeper_run_shows(spark, monkeypatch):
+    """Partners at 0.751 that share only crowded runs of the least depth, without the guesses of steps 1 and 2."""
+    for step in ("_heads", "_outsiders"):
+        monkeypatch.setattr(near_dedup, step, lambda runs, real=getattr(near_dedup, step): real(runs).limit(0))
+    rnd = random.Random(5)
+    fresh = lambda k: [f"w{rnd.randrange(10 ** 7)}" for _ in range(k)]
+    keys = lambda t: near_dedup.prefix_keys(near_dedup.signature(shingle_set(next(word_hashes(pa.array([t]))))))
+    shared = fresh(135)
+    texts = [" ".join(shared + fresh(45)) for _ in range(300)]
+    want, singles = list(range(300)), np.array([keys(t)[0] for t in texts])
+    while len(texts) < 316:
+        words = shared + fresh(45)
+        two = [" ".join(words), " ".join(words[:-25] + fresh(25))]
+        a, b = map(keys, two)
+        crowd = (singles == a[0]).sum(axis=0)[a[0] == b[0]]
+        if len(crowd) and crowd.min() > near_dedup.MINORS and not (a[1] == b[1]).any():
+            want += [len(texts)] * 2
+            texts += two
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()} == dict(enumerate(want))
+
+
 def test_odd_rows(spark, odd_documents):
     got = near_dedup.near_duplicates(odd_documents)
     assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
