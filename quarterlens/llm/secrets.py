@@ -6,7 +6,7 @@ Two sources of spans, in code points with exclusive ends:
 * ``lexed``: the text is read as source or configuration code.  A small lexer
   yields (name, literal) and (name, other name) pairs from assignments,
   mappings and key-value lines (``a.b = "x"``, ``"k": 'x'``, ``k: x``,
-  ``export K=x``).  Constants are propagated: a literal counts for every name
+  ``export K=x``), whatever run of blanks aligns them.  Constants are propagated: a literal counts for every name
   that its name is assigned on to.  The literal's score is the sensitivity of
   the best such name times how random the literal looks; from ``MIN_SCORE``
   its span is reported, unless a base span covers it.
@@ -43,7 +43,7 @@ SENSITIVE = {
 }
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _PAIR = re.compile(
-    r"""(?<![\w.-])(?P<quote>["']?)(?P<name>[A-Za-z_][\w.-]*)(?P=quote)\s{0,4}(?::=|=>|=(?!=)|:(?!:))[ \t]{0,4}"""
+    r"""(?<![\w.-])(?P<quote>["']?)(?P<name>[A-Za-z_][\w.-]*)(?P=quote)\s*+(?::=|=>|=(?!=)|:(?!:))[ \t]*+"""
     r"""(?:"(?P<dq>[^"\n]+)"|'(?P<sq>[^'\n]+)'|(?P<ref>[A-Za-z_][\w.]*)(?![\w+/=-])|(?P<bare>[\w+/=.-]{8,}))""",
     re.ASCII)
 

@@ -126,6 +126,15 @@ def test_long_names_literals_and_chains():
     assert secrets.propagated({"a", "b"}, {"a": {"b"}, "b": {"a", "pwd"}}) == {"a": 0.9, "b": 0.9, "pwd": 0.9}
 
 
+def test_pairs_aligned_in_columns():
+    for n in (1, 4, 5, 17, 40):
+        for gap in (" " * n, "\t" * n, " \t" * n):
+            assert lexed(f'db_pwd{gap}={gap}"hV7kq2PzX9wT4"') == ["hV7kq2PzX9wT4"]
+            assert lexed(f"client_credential:{gap}'hV7kq2PzX9wT4'\n") == ["hV7kq2PzX9wT4"]
+            assert lexed(f'k{gap}= "hV7kq2PzX9wT4"\npassword{gap}={gap}k\n') == ["hV7kq2PzX9wT4"]
+    assert lexed(f'{"word " * 3}{" " * 200_000}x{" " * 200_000}') == []
+
+
 def test_redaction_and_odd_rows(spark, odd_documents):
     assert secrets.scan_secrets(odd_documents).count() == odd_documents.count()
     out = secrets.redact_secrets(odd_documents)
