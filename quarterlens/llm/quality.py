@@ -6,8 +6,9 @@ conjunction of thresholds.  A lasso logistic regression over the rules gives
 most of them weight 0; the rest are compiled into one Spark column expression
 over the statistics, so the model that scores is readable SQL.
 
-Learning reads at most ``TRAIN_ROWS`` labelled rows, chosen by a hash of
-doc_id; only their statistics reach the driver.  Every text is scored whole.
+Learning reads at most ``TRAIN_ROWS`` distinct (doc_id, label), chosen by a
+hash of doc_id, and one text of each, the smallest; only their statistics reach
+the driver, so at most ``TRAIN_ROWS`` rows.  Every text is scored whole.
 
 Edge cases: null and empty texts have statistics of 0 and are scored by the
 same rules; rows with a null doc_id are scored, not held out and not learned
@@ -184,12 +185,14 @@ def train(docs: DataFrame, labels: DataFrame):
     """Rules learned from the rows of ``labels(doc_id, quality)`` that are not held out."""
     spark = docs.sparkSession
     ids = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("label"))
-           .where("doc_id is not null and label is not null").where(~_held_out())
+           .where("doc_id is not null and label is not null").where(~_held_out()).distinct()
            .orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id", "label").limit(TRAIN_ROWS).collect())
     if not ids:
         return 0.5, None
     chosen = spark.createDataFrame([tuple(r) for r in ids], "doc_id long, label double")
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("held_out", F.lit(False))
+    # Of rows that share doc_id one is learned for each label, however many there are.
+    sample = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+              .groupBy("doc_id", "label").agg(F.min("text").alias("text")).withColumn("held_out", F.lit(False)))
     rows = describe(sample).drop("held_out").toPandas().sort_values(["doc_id", "label"], kind="stable")
     return fit_rules(rows[list(STATISTICS)].to_numpy(), rows["label"].to_numpy())
 

@@ -257,3 +257,15 @@ def test_chat_digests(spark):
         assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == (n, sha(turns_text), len(loss), sha(loss))
         assert r.formatted_chars == len(whole[conv])
     assert chat.read_back(chat.format_turns(turns.limit(0))).count() == 0
+
+
+def test_a_hot_labelled_document_is_learned_once(spark, monkeypatch):
+    rows = [(i, f"text number {i} with some words", i % 2) for i in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    hot = spark.range(5000).selectExpr("3L as doc_id", "concat('other text ', id) as text")
+    seen = []
+    monkeypatch.setattr(quality, "fit_rules", lambda x, y: seen.append((len(x), sorted(y))) or (0.5, None))
+    quality.train(docs, labels)
+    quality.train(docs.unionByName(hot), labels.unionByName(labels))
+    assert seen[0] == seen[1] and seen[0][0] <= 60
