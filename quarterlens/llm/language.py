@@ -139,13 +139,13 @@ def train(docs: DataFrame) -> tuple | None:
                        & F.col("text").rlike(r"\p{L}"))
     # A hash threshold leaves about four times the sample of each language, so
     # that ranking a language with most of the rows stays a small task.
+    # It counts ids, not rows, as the sample does.
     place = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 31))
-    rows = known.select("doc_id", "lang").withColumn("place", place)
+    rows = known.select("doc_id", "lang").distinct().withColumn("place", place)
     sizes = rows.groupBy("lang").agg(F.count("*").alias("rows"))
     order = Window.partitionBy("lang").orderBy("place", "doc_id")
     # One row per language, as many as the model has; a shuffle join would move all rows by language.
     ids = (rows.join(F.broadcast(sizes), "lang").where(F.col("place") * F.col("rows") <= float(4 * TRAIN_PER_LANG << 31))
-           .dropDuplicates(["doc_id", "lang"])
            .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= TRAIN_PER_LANG))
     ids = [(r["doc_id"], r["lang"], r["rank"]) for r in ids.collect()]
     if not ids:

@@ -259,6 +259,18 @@ def test_chat_digests(spark):
     assert chat.read_back(chat.format_turns(turns.limit(0))).count() == 0
 
 
+def test_repeated_rows_do_not_shrink_the_language_sample(spark):
+    """One doc_id with most rows of its language: the others are learned all the same."""
+    rows = [(i, f"alpha{i} beta gamma delta", "xx") for i in range(1, 201)]
+    rows += [(i, f"omega{i} psi chi phi", "yy") for i in range(1001, 1201)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    hot = spark.range(200_000).selectExpr("5000L as doc_id", "'alpha beta gamma' as text", "'xx' as lang")
+    def learned(docs):
+        landmarks, languages, _ = language.train(docs)
+        return len(landmarks), languages
+    assert learned(docs.unionByName(hot)) == learned(docs) == (2 * language.LANDMARKS_PER_LANG, ["xx", "yy"])
+
+
 def test_a_hot_labelled_document_is_learned_once(spark, monkeypatch):
     rows = [(i, f"text number {i} with some words", i % 2) for i in range(60)]
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
