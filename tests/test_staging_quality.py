@@ -93,6 +93,17 @@ def test_fused_checks_equal_the_single_ones(spark):
     assert len(empty) == 4 and all(r.failures == 0 for r in empty)
 
 
+def test_unaccepted_values_are_counted_without_a_set_of_them(spark):
+    """As many unaccepted values as rows: groups are counted, no row holds them all."""
+    subs = spark.range(5000).selectExpr("cast(id as string) as subscription_id", "id as customer_id",
+                                        "concat('x', id % 4000) as status")
+    moves = subs.selectExpr("customer_id", "date'2023-01-01' as month", "status as movement_type")
+    for table, df in (("stg_subscriptions", subs), ("fct_arr_movements", moves)):
+        checks = quality.check_table(table, df)
+        assert "collect_set" not in checks._jdf.queryExecution().optimizedPlan().toString()
+        assert [r.failures for r in checks.collect() if r.check_name == "accepted_values"] == [4000]
+
+
 def test_status_of_a_row_without_a_month_counts_as_latest(spark):
     from quarterlens.operators.customers import customer_activity
     subs = spark.createDataFrame([(1, d("2023-05-01"), "active"), (1, None, "churned"), (2, d("2023-05-01"), "active")],
