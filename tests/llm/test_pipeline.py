@@ -36,3 +36,19 @@ def test_odd_rows_pass_all_stages(spark, odd_documents, tmp_path):
     spark.createDataFrame([(1, "one two")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
     rows = corpus_pipeline.run(spark, sf).collect()
     assert sorted(r.doc_id or 0 for r in rows) == [0, 1, 8]
+
+
+def test_documents_of_unlearned_languages_go(spark, documents):
+    planted = {
+        "it": "Il presidente della repubblica ha dichiarato che ieri il governo ha approvato una nuova legge sulle pensioni",
+        "nl": "De regering heeft gisteren een nieuwe wet aangenomen over de pensioenen van alle werknemers in het land",
+        "fi": "Presidentti sanoi eilen että hallitus on hyväksynyt uuden lain kaikkien työntekijöiden eläkkeistä maassa",
+        "ru": "Президент заявил вчера что правительство приняло новый закон о пенсиях для всех работников страны",
+        "zh": "总统昨天表示政府通过了一项关于全国所有员工养老金的新法律",
+        "soup": "xqzv kjwp zzrt bvxq wqpl jkxz qqvt hjkl zxcv mnbq wrtp plkj xqwz vbnm jjqx",
+    }
+    rows = [(10 ** 9 + i, t, None, "planted", len(t)) for i, t in enumerate(planted.values())]
+    docs = documents.select("doc_id", "text", "lang", "source", "n_chars")
+    docs = docs.unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    kept = {r.doc_id for r in language.known_language(docs).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in documents.where("text rlike '\\\\p{L}'").select("doc_id").collect()}
