@@ -4,10 +4,14 @@ The standard-library parser's events cut a page into lines: the text between
 two block-level tags.  A line's ratio is its number of characters over the
 number of tags in it.  The ratios are smoothed with a Gaussian kernel; lines
 above the threshold (the smaller of mean and standard deviation of the
-smoothed ratios) are content and cluster by the section element they stand in.
-The regions that hold content lines are selected whole, so that a short
-paragraph between long ones stays.  An article element, where a page has one,
-is such a region; without it all sections with content lines are.
+smoothed ratios) are content.  A section element that holds a content line of
+its own is selected whole, so that a short paragraph between long ones stays.
+Any other section (a list, table, quote or nested div of short lines) belongs
+to the smallest section around it with content lines, and stays where it stands
+between the first and the last of them.
+
+An article or main element overrides the ratio: where a page has some, the
+text is that of those with content lines, whole, or of all if none has any.
 
 Elements that cannot be article text are skipped while parsing: scripts,
 styles, navigation, footers, forms, and elements whose class, id or role says
@@ -60,6 +64,7 @@ class _Lines(HTMLParser):
         self.lines: list[list] = []
         self.open: list[tuple[str, int, int]] = [("body", 0, 0)]  # element, section, article
         self.sections = self.articles = 0
+        self.parents = [0]  # of each section, the one around it
         self.skip: list[str] = []  # open elements from the outermost skipped one on
         self.heading_of_header = False
         self.broken = True
@@ -105,6 +110,7 @@ class _Lines(HTMLParser):
             return
         if tag in SECTIONS and tag != "body":
             self.sections += 1
+            self.parents.append(self.open[-1][1])
             article = self.open[-1][2]
             if tag in ("article", "main") and not article:
                 self.articles += 1
@@ -173,17 +179,34 @@ def main_text(html: str | None) -> str:
     mean = sum(smooth) / len(smooth)
     spread = math.sqrt(sum((s - mean) ** 2 for s in smooth) / len(smooth))
     least = min(mean, spread)
-    weight: dict = {}
-    for s, (text, _, section, article) in zip(smooth, lines):
-        if s >= least:
-            region = ("article", article) if article else ("section", section)
-            weight[region] = weight.get(region, 0) + len(text)
-    if any(kind == "article" for kind, _ in weight):
-        weight = {r: w for r, w in weight.items() if r[0] == "article"}
-    elif any(article for _, _, _, article in lines):
-        weight = {("article", a): 1 for _, _, _, a in lines if a}
-    return " ".join(text for text, _, section, article in lines
-                    if (("article", article) if article else ("section", section)) in weight)
+    content = [i for i, s in enumerate(smooth) if s >= least]
+    if any(article for _, _, _, article in lines):
+        chosen = {lines[i][3] for i in content} - {0} or {article for _, _, _, article in lines}
+        return " ".join(text for text, _, _, article in lines if article and article in chosen)
+    own = {lines[i][2] for i in content}
+    first, last = (_reached(order, lines, parser.parents) for order in (content, content[::-1]))
+    kept, around = [], {}
+    for i, (text, _, section, _) in enumerate(lines):
+        path, at = [], section
+        while at not in first and at not in around:
+            path.append(at)
+            at = parser.parents[at]
+        at = around.get(at, at)
+        around.update(dict.fromkeys(path, at))
+        if section in own or first[at] <= i <= last[at]:
+            kept.append(text)
+    return " ".join(kept)
+
+
+def _reached(order: list[int], lines: list[tuple], parents: list[int]) -> dict[int, int]:
+    """For each section the first line of ``order`` that stands in it, at any depth."""
+    out: dict[int, int] = {}
+    for i in order:
+        at = lines[i][2]
+        while at not in out:
+            out[at] = i
+            at = parents[at]
+    return out
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

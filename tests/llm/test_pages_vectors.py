@@ -85,6 +85,19 @@ def test_page_furniture_goes():
     assert html_text.main_text("") == html_text.main_text(None) == html_text.main_text("<script>x</script>") == ""
 
 
+def test_pages_without_article_keep_lists_tables_and_quotes():
+    long = " ".join(["A sentence that is long enough to be the text of an article, with commas, and more."] * 4)
+    inner = "<ul><li>One<li>Two</ul><table><tr><td>a<td>b</table><blockquote>Said.</blockquote><div>Fig.</div>"
+    want = f"{long} One Two a b Said. Fig. {long}"
+    for page in (f"<div><p>{long}</p>{inner}<p>{long}</p></div>",
+                 f"<div><div><p>{long}</p></div><div>{inner}</div><div><p>{long}</p></div></div>"):
+        far = "".join(f"<div>Far{i}</div>" for i in range(6))  # the smoothing reaches two lines
+        got = html_text.main_text(f"<body>{far}{page}{far}</body>")
+        assert want in got and "Far0" not in got.split(want)[0] and "Far5" not in got.split(want)[1]
+    deep = "<div>" * 20_000
+    assert html_text.main_text(f"{deep}x{deep}{long}") .endswith(long)
+
+
 def test_extract_odd_rows(spark):
     pages = spark.createDataFrame([(1, None, None, "t"), (None, "u", "", "t"), (2, "u", "<p>" * 50_000 + "x", "t"),
                                    (2, "u", "<p>" * 50_000 + "x", "t")], "page_id long, url string, html string, text string")
