@@ -1,13 +1,16 @@
 """Operator 3: approximate nearest neighbours on robust-pruned directed graphs.
 
 Nearness is the inner product.  Equal vectors are one node.  The nodes are
-dealt to shards of about ``SHARD`` nodes by a hash; each shard builds a graph:
+dealt to shards of at most about ``SHARD`` nodes by their norm's band of
+``BAND`` powers of two, so that no vector flattens the others of its shard, and
+by a hash; each shard builds a graph:
 nodes are inserted in growing batches, a greedy beam search in the graph so
 far proposes neighbours, and relaxed distance pruning keeps a candidate only
 if no nearer kept one is ``ALPHA`` times nearer to it.  Kept edges are also
 added in reverse and pruned again where a node has more than ``DEGREE``.
 Within a shard the inner product is turned into a distance by one more
-coordinate that gives all vectors the same length.
+coordinate that gives all vectors the same length, in double precision after
+scaling by a power of two; norms of any finite size take part.
 
 Every query beam-searches every shard (in blocks of ``QUERY_BLOCK`` queries)
 and the shards' best are merged.  A graph moves once per block, so a block is
@@ -34,6 +37,7 @@ from pyspark.sql import functions as F
 from quarterlens.llm.common import materialize
 
 SHARD = 16384
+BAND = 3
 DEGREE = 32
 BUILD_BEAM = 64
 SEARCH_BEAM = 160
@@ -115,12 +119,12 @@ def robust_prune(points: np.ndarray, at: np.ndarray, candidates: np.ndarray, len
 
 def build_graph(vectors: np.ndarray, seed: int = 7):
     """(points of equal length, neighbour lists padded with -1, entry point) of a shard."""
-    x = vectors.astype(np.float32)
+    x = vectors.astype(np.float64)
+    x = np.ldexp(x, -int(np.frexp(np.abs(x).max())[1]))
     norm2 = np.einsum("ij,ij->i", x, x)
     length2 = float(norm2.max())
     points = np.concatenate([x, np.sqrt(np.maximum(length2 - norm2, 0))[:, None]], axis=1)
-    scale = np.float32(np.sqrt(length2)) or np.float32(1)
-    points = points / scale
+    points = (points / (np.sqrt(length2) or 1)).astype(np.float32)
     n = len(points)
     entry = int((points @ points.mean(axis=0)).argmax())
     order = np.random.default_rng(seed).permutation(n)
@@ -227,6 +231,13 @@ def valid_vectors(embeddings: DataFrame) -> DataFrame:
             .withColumn("dim", F.size("embedding").cast("long")).distinct())
 
 
+def _band():
+    """The band of a vector's norm, without overflow."""
+    most = F.array_max(F.transform("embedding", lambda v: F.abs(v.cast("double"))))
+    rest = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + F.pow(v.cast("double") / most, F.lit(2.0)))
+    return F.floor((F.log2(most) + F.log2(rest) / 2) / BAND + 0.5).cast("long").alias("band")
+
+
 def nearest(embeddings: DataFrame, k: int = K, query_mod: int = QUERY_MOD) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of each query (vec_id divisible by ``query_mod``)."""
     valid = materialize(valid_vectors(embeddings), "ann-valid")
@@ -237,12 +248,18 @@ def nearest(embeddings: DataFrame, k: int = K, query_mod: int = QUERY_MOD) -> Da
         "ann-classes")
     queries = valid.where(F.col("vec_id") % query_mod == 0)
     tasks = int(embeddings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    per = classes.groupBy("dim").agg(F.ceil(F.count("*") / SHARD).cast("long").alias("shards"))
+    classes_in = classes.select("dim", "rep", "embedding", _band())
+    # A row per vector length and band, of which there are at most some hundreds.
+    bands = classes_in.groupBy("dim", "band").agg(F.ceil(F.count("*") / SHARD).cast("long").alias("parts"))
+    before = Window.partitionBy("dim").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = bands.withColumn("first", F.coalesce(F.sum("parts").over(before), F.lit(0)).cast("long"))
+    per = bands.groupBy("dim").agg(F.sum("parts").cast("long").alias("shards"))
     asked = queries.groupBy("dim").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("long").alias("blocks"))
     sizes = per.join(asked, "dim", "left")  # a row per vector length
     deal = lambda c, n: F.pmod(F.xxhash64(c, F.lit(3)), F.col(n))
     graphs = materialize(
-        classes.join(sizes, "dim").select("dim", deal("rep", "shards").alias("shard"), "rep", "embedding")
+        classes_in.join(bands, ["dim", "band"])
+        .select("dim", (F.col("first") + deal("rep", "parts")).alias("shard"), "rep", "embedding")
         # By number: adaptive execution would put many shards, small in bytes, into one task.
         .repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInArrow(_build_shard, _GRAPH), "ann-graphs")
     here = (graphs.join(sizes, "dim").where("blocks is not null")

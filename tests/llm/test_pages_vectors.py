@@ -154,6 +154,17 @@ def test_nearest_over_shards(spark, monkeypatch, lengths):
     assert [r.vec_id for r in sorted((r for r in found if r.query_id == 100), key=lambda r: r.rank)] == list(range(101, 121))
 
 
+def test_outliers_do_not_flatten_the_others(spark):
+    """Finite vectors of 1e4, 2e19 and 1e30 times the length of the others."""
+    x = np.random.default_rng(2).normal(size=(2000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[[7, 501, 1001]] *= np.array([[1e4], [2e19], [1e30]])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    assert recall(vectors.nearest(table).collect(), brute(np.arange(2000), x, 20, 20)) >= 0.95
+    points, graph, _ = vectors.build_graph(x)
+    assert np.isfinite(points).all() and (graph[:, 0] >= 0).all()
+
+
 def test_nearest_odd_rows(spark):
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (20, [1.0, 0.0]), (40, None), (1, [0.0, 0.0]), (2, [float("nan"), 1.0]),
             (3, [1.0, None]), (4, []), (None, [1.0, 1.0]), (5, [0.5, 0.5]), (60, [1.0, 2.0, 3.0]), (6, [float("inf"), 1.0])]
