@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from quarterlens.llm import (chat, decontaminate, html_text, language, mixing, near_dedup, oracle, quality, secrets,
-                             vectors, warc)
+from quarterlens.llm import (chat, decontaminate, html_text, language, lexical, mixing, near_dedup, negatives, oracle,
+                             packing, quality, secrets, vectors, warc)
 from quarterlens.llm.common import table
 
 
@@ -58,13 +58,26 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_near_dedup, op2_decontaminate, op3_nearest, op4_language, op5_mixing, op6_warc,
-                            op7_quality, op8_html_text, op9_chat, op10_secrets, pipeline)}
+                            op7_quality, op8_html_text, op9_chat, op10_secrets, op11_packing, op12_lexical,
+                            op13_negatives, pipeline)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -83,6 +83,14 @@ def hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return hashes, np.searchsorted(starts, offsets)
 
 
+def piece_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the given byte ranges, letters as they are."""
+    up, down = _power_tables(len(data) + 1)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts])
+
+
 def word_hashes(column: pa.Array) -> Iterator[np.ndarray]:
     """The word hashes of each text of a string column, in order."""
     data, offsets = string_buffers(column)
