@@ -142,8 +142,16 @@ def nrr_matrix(nrr: DataFrame, quarters: list[str]) -> DataFrame:
     """Cohort rows x quarter columns of nrr_pct.
 
     ``quarters`` fixes the columns (taken from the calendar, not the data),
-    so the schema never depends on what the data happens to contain.
+    so the schema never depends on what the data happens to contain.  A cell
+    with more than one row is an error that names it, whatever the rows hold.
     """
-    return (nrr.groupBy("cohort_quarter")
+    cells = nrr.groupBy("cohort_quarter", "fiscal_quarter").agg(
+        F.count(F.lit(1)).alias("__rows"), F.max("nrr_pct").alias("__pct"))
+    twice = F.concat(F.lit("NRR has "), F.col("__rows").cast("string"), F.lit(" rows for cohort "),
+                     F.coalesce("cohort_quarter", F.lit("NULL")), F.lit(" in quarter "),
+                     F.coalesce("fiscal_quarter", F.lit("NULL")))
+    cell = F.when(F.col("__rows") > 1, F.raise_error(twice).cast("double")).otherwise(F.col("__pct"))
+    return (cells.select("cohort_quarter", "fiscal_quarter", cell.alias("nrr_pct"))
+            .groupBy("cohort_quarter")
             .pivot("fiscal_quarter", quarters)
             .agg(F.max("nrr_pct")))

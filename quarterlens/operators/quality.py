@@ -7,7 +7,9 @@ accepted_values.  ``run_all`` fuses the checks of a table into one pass: a
 map-side combined group-by on the unique key (or the values under test) counts
 the rows and the NULLs, and a second small aggregate adds them up.  Unaccepted
 values are groups that are counted, never a set held in one row, so a table
-with a unique key takes a pass more for them.  ``run_not_null``, ``run_unique`` and
+with a unique key takes a pass more for them.  ``observe_table`` counts NULLs and
+rows of unaccepted values while a table is written, so that they cost no scan;
+only the values of a table that has such rows are then counted apart.  ``run_not_null``, ``run_unique`` and
 ``run_accepted_values`` run one kind of check each.
 """
 
@@ -16,7 +18,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarterlens.constants import MOVEMENT_TYPES, STATUSES
@@ -82,8 +85,11 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def run_not_null(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return _union([not_null(t, tables[t], cols) for t, cols in NOT_NULL.items()])
+def run_not_null(tables: Mapping[str, DataFrame], observed: Mapping[str, Mapping[str, int]] | None = None) -> DataFrame:
+    """The NULL counts; tables in ``observed`` are not read, theirs were taken while they were written."""
+    observed = observed or {}
+    return _union([_known_nulls(tables[t].sparkSession, t, observed[t]) if t in observed else not_null(t, tables[t], cols)
+                   for t, cols in NOT_NULL.items()])
 
 
 def run_unique(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -121,9 +127,55 @@ def check_table(table: str, df: DataFrame) -> DataFrame:
     return _union([together, *apart])
 
 
-def run_all(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All declared checks (14 not_null + 7 unique + 2 accepted_values), one pass per table and unfused column."""
-    return _union([check_table(t, tables[t]) for t in NOT_NULL])
+def observe_table(table: str, df: DataFrame) -> tuple[DataFrame, Observation | None]:
+    """``df`` with the declared counts observed by the action that runs it; None if the table has none.
+
+    It has to be the top of what is written: the counts of a last stage are
+    added once per task, also when a lost executor makes Spark run it again.
+    """
+    counts = [F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in NOT_NULL.get(table, [])]
+    counts += [F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*v)).alias(f"a_{c}")
+               for c, v in ACCEPTED_VALUES.get(table, {}).items()]
+    if not counts:
+        return df, None
+    seen = Observation()  # a name of its own: a build that failed may have left one for the same frame
+    return df.observe(seen, *counts), seen
+
+
+def observed_counts(seen: Observation) -> dict[str, int] | None:
+    """What was observed; None if Spark found the plan to be without rows and dropped the counting with it."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return None
+
+
+def _known_nulls(spark: SparkSession, table: str, seen: Mapping[str, int], more: Sequence[tuple] = ()) -> DataFrame:
+    rows = [(table, c, "not_null", seen[f"n_{c}"]) for c in NOT_NULL.get(table, [])]
+    return spark.createDataFrame([*rows, *more], "table_name string, column_name string, check_name string, failures long")
+
+
+def observed_checks(table: str, df: DataFrame, seen: Mapping[str, int]) -> DataFrame:
+    """All declared checks of a written table ``df`` from what was observed (``seen``) while it was written.
+
+    NULL counts are those observed.  Unaccepted values are counted over the
+    table only if rows with some were observed.  Unique keys are counted over it.
+    """
+    values = ACCEPTED_VALUES.get(table, {})
+    fine = [(table, c, "accepted_values", 0) for c in values if not seen[f"a_{c}"]]
+    known = _known_nulls(df.sparkSession, table, seen, fine)
+    return _union([known, *(accepted_values(table, df, c, v) for c, v in values.items() if seen[f"a_{c}"]),
+                   *(unique(table, df, c) for c in UNIQUE.get(table, []))])
+
+
+def run_all(tables: Mapping[str, DataFrame], observed: Mapping[str, Mapping[str, int]] | None = None) -> DataFrame:
+    """All declared checks (14 not_null + 7 unique + 2 accepted_values), one pass per table and unfused column.
+
+    ``observed`` has the counts of tables that were observed while they were written.
+    """
+    observed = observed or {}
+    return _union([observed_checks(t, tables[t], observed[t]) if t in observed else check_table(t, tables[t])
+                   for t in NOT_NULL])
 
 
 def dedup_audit(table: str, raw: DataFrame, staged: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ is a DataFrame over *all* quarters; a caller narrows it with ``for_quarter``
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,19 @@ def for_quarter(df: DataFrame, fq: str, column: str = "fiscal_quarter") -> DataF
     return df.where(F.col(column) == F.lit(fq))
 
 
+def require_quarters(df: DataFrame, quarters: Sequence[str], what: str = "result") -> DataFrame:
+    """The rows of ``df`` for the asked quarters; one without a row fails the query that reads it.
+
+    The asked labels are left-joined to the rows and a miss raises, so the
+    check is part of the plan and costs no job of its own.
+    """
+    asked = df.sparkSession.createDataFrame([(q,) for q in quarters], "fiscal_quarter string")
+    here = df.where(F.col("fiscal_quarter").isin(*quarters)).withColumn("__here", F.lit(True))
+    missing = F.concat(F.lit(f"no {what} for fiscal quarter "), F.col("fiscal_quarter"))
+    found = F.when(F.col("__here").isNull(), F.raise_error(missing).cast("boolean")).otherwise(F.col("__here"))
+    return asked.join(here, "fiscal_quarter", "left").where(found).select(*df.columns)
+
+
 def movement_detail(movements: DataFrame) -> DataFrame:
     """Per quarter and type: movement rows (labelled customers, as in the
     original, though it counts rows) and their summed delta."""
@@ -75,7 +90,10 @@ def arr_bridge(waterfall: DataFrame) -> DataFrame:
 
 def close_report(waterfall: DataFrame, movements: DataFrame, nrr: DataFrame,
                  fq: str | None = None) -> dict[str, DataFrame]:
-    """The three data tabs of the quarter close, for one quarter or all."""
+    """The three data tabs of the quarter close, for one quarter or all.
+
+    A quarter that is asked for and has no headline row fails the summary.
+    """
     tabs = {
         "summary": close_summary(waterfall),
         "movements": movement_detail(movements),
@@ -83,4 +101,5 @@ def close_report(waterfall: DataFrame, movements: DataFrame, nrr: DataFrame,
     }
     if fq is not None:
         tabs = {k: for_quarter(v, fq) for k, v in tabs.items()}
+        tabs["summary"] = require_quarters(close_summary(waterfall), [fq], "headline row")
     return tabs

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 import warnings
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,9 @@ class Field:
     synonyms: tuple[str, ...] = ()
     # Of a fact: how it adds up. "semi" not over fiscal quarters, "ratio" not at all.
     kind: str = "additive"
+    # Of a dimension: one row a value; a closed set of values, so that a filter on another one is an error.
+    unique: bool = False
+    enum: bool = False
 
 
 @dataclass(frozen=True)
@@ -44,7 +47,7 @@ class SemanticTable:
 # Names and synonyms of the semantic model, in its own order.
 REVENUE_WATERFALL = SemanticTable(
     name="revenue_waterfall",
-    dimensions=(Field("fiscal_quarter", "fiscal_quarter", ("quarter", "period", "FQ")),),
+    dimensions=(Field("fiscal_quarter", "fiscal_quarter", ("quarter", "period", "FQ"), unique=True, enum=True),),
     facts=(
         Field("beginning_arr", "beginning_arr", ("starting ARR", "opening ARR"), kind="semi"),
         Field("ending_arr", "ending_arr", ("final ARR", "closing ARR", "total ARR", "ARR"), kind="semi"),
@@ -69,8 +72,8 @@ REVENUE_WATERFALL = SemanticTable(
 NRR_COHORTS = SemanticTable(
     name="nrr_cohorts",
     dimensions=(
-        Field("cohort_quarter", "cohort_quarter", ("cohort", "signup quarter")),
-        Field("fiscal_quarter", "fiscal_quarter", ("measurement quarter", "period")),
+        Field("cohort_quarter", "cohort_quarter", ("cohort", "signup quarter"), enum=True),
+        Field("fiscal_quarter", "fiscal_quarter", ("measurement quarter", "period"), enum=True),
     ),
     facts=(Field("nrr_pct", "nrr_pct", ("retention", "NRR", "net revenue retention"), kind="ratio"),),
     metrics=(Metric("avg_nrr_pct", "avg", "nrr_pct", ("retention", "NRR", "average retention")),),
@@ -101,14 +104,46 @@ def resolve(term: str, tables: Sequence[SemanticTable] = TABLES
     raise KeyError(term)
 
 
-def resolve_dimension(term: str, table: SemanticTable) -> str:
+def find_dimension(term: str, table: SemanticTable) -> Field:
     t = _norm(term)
     for d in table.dimensions:
         if _norm(d.name) == t or t in {_norm(s) for s in d.synonyms}:
-            return d.column
+            return d
     raise KeyError(f"{term!r} is not a dimension of {table.name}")
 
 
+def resolve_dimension(term: str, table: SemanticTable) -> str:
+    return find_dimension(term, table).column
+
+
+def _assert_unique(df: DataFrame, table: SemanticTable) -> DataFrame:
+    """``df``, failing where a unique dimension has a value twice.
+
+    The facts have at most a row per pair of quarters, so the windows here and
+    in ``_where`` are small, and they save a second run of the fact's plan.
+    """
+    for d in table.dimensions:
+        if d.unique:
+            said = F.concat(F.lit(f"{table.name} has more than one row for {d.name} "), F.col(d.column).cast("string"))
+            df = df.withColumn("__rows", F.count(d.column).over(Window.partitionBy(d.column)))
+            df = df.where(F.when(F.col("__rows") > 1, F.raise_error(said).cast("boolean")).otherwise(F.lit(True))) \
+                .drop("__rows")
+    return df
+
+
+def _where(df: DataFrame, dimensions: Sequence[tuple[Field, object]], table: SemanticTable) -> DataFrame:
+    """The rows with all the values, failing on one that is no member of its enumerated dimension."""
+    keep = F.lit(True)
+    for i, (d, value) in enumerate(dimensions):
+        matches = F.col(d.column) == F.lit(value)
+        if d.enum:
+            df = df.withColumn(f"__found{i}", F.count_if(matches).over(Window.partitionBy()))
+            said = F.lit(f"{value!r} is no {d.name} of {table.name}")
+            matches = F.when(F.col(f"__found{i}") == 0, F.raise_error(said).cast("boolean")).otherwise(matches)
+        keep = matches if i == 0 else keep & matches
+    return df.where(keep).drop(*(f"__found{i}" for i in range(len(dimensions))))
+
+
 #: The dimensions that make up each table's grain.
 GRAIN = {"revenue_waterfall": {"fiscal_quarter"}, "nrr_cohorts": {"cohort_quarter", "fiscal_quarter"}}
 
@@ -140,16 +175,21 @@ def _aggregate(m: Metric | Field) -> Column:
 
 def metric(frames: Mapping[str, DataFrame], terms: Sequence[str] | str,
            by: Sequence[str] = (), where: Mapping[str, object] | None = None) -> DataFrame:
-    """Evaluate metrics (names or synonyms) of one table grouped by dimensions."""
+    """Evaluate metrics (names or synonyms) of one table grouped by dimensions.
+
+    Running the result fails if a unique dimension of the table has a value
+    twice, or if ``where`` asks for a value that an enumerated one does not have
+    (a table without rows has no members to check).
+    """
     terms = [terms] if isinstance(terms, str) else list(terms)
     resolved = [resolve(t) for t in terms]
     table = resolved[0][0]
     if any(r[0] is not table for r in resolved):
         raise ValueError("metrics of different tables cannot be combined")
     dims = [resolve_dimension(d, table) for d in by]
-    df = frames[table.name]
-    for dim, value in (where or {}).items():
-        df = df.where(F.col(resolve_dimension(dim, table)) == F.lit(value))
+    df = _assert_unique(frames[table.name], table)
+    if where:
+        df = _where(df, [(find_dimension(dim, table), value) for dim, value in where.items()], table)
     aggs = []
     fixed = set(dims) | {resolve_dimension(d, table) for d in (where or {})}
     for _, m in resolved:

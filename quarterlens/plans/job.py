@@ -3,9 +3,10 @@
     spark-submit quarterlens/plans/job.py --bronze <folder or schema> --out <root>
     spark-submit quarterlens/plans/job.py --sf-dir <driver tables> --out <root>
 
-Reads the four bronze tables (or derives them from the driver tables), writes the five gold marts under ``<out>/gold``
-(full overwrite), writes the data-quality results and the quarter-close
-datasets next to them, and fails (exit 1) when a declared check fails.
+Reads the four bronze tables (or derives them from the driver tables), writes the five gold marts and the
+data-quality results below ``<out>`` (``marts.MartStore``: a new version, committed when it is complete), writes the
+quarter-close datasets to ``<out>/gold/close_report``, and fails (exit 1) when a declared check fails.  With
+``--quarantine``, bronze rows that cannot be read as declared go there instead of failing the job.
 The checkpoint folder comes from ``spark.checkpoint.dir`` (set by the
 cluster); only a local run picks its own.
 """
@@ -44,7 +45,8 @@ def main(argv: list[str] | None = None) -> int:
     source.add_argument("--sf-dir", help="folder with the driver parquet tables")
     ap.add_argument("--format", default="parquet", help="of the bronze tables: a file format, or table")
     ap.add_argument("--out", required=True, help="root folder of the layers")
-    ap.add_argument("--quarter", help="also print the close headline of this quarter")
+    ap.add_argument("--quarter", help="close only this quarter: the other quarters' datasets stay; print its headline")
+    ap.add_argument("--quarantine", help="folder for the rejected bronze rows")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("quarterlens-gold").getOrCreate()
@@ -52,14 +54,13 @@ def main(argv: list[str] | None = None) -> int:
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     ensure_checkpoint_dir(spark)
-    model = (RevenueModel.from_bronze(spark, args.bronze, args.format) if args.bronze
+    model = (RevenueModel.from_bronze(spark, args.bronze, args.format, quarantine=args.quarantine) if args.bronze
              else RevenueModel.from_driver(spark, args.sf_dir)).build(args.out)
 
-    checks = model.data_quality()
-    marts.write_mart(checks, marts.mart_path(args.out, "dq_results"))
-    marts.write_close_report(model.close_report(), marts.mart_path(args.out, "close_report"))
-    failed = marts.read_mart(spark, marts.mart_path(args.out, "dq_results")) \
-        .where(F.col("failures") > 0)
+    store = marts.MartStore(spark, args.out)
+    store.publish({"dq_results": model.data_quality()})
+    model.write_close_report(marts.mart_path(args.out, "close_report"), args.quarter)
+    failed = store.read("dq_results").where(F.col("failures") > 0)
     if args.quarter:
         model.close_report(args.quarter)["summary"].show(truncate=False)
     if not failed.isEmpty():

@@ -10,7 +10,6 @@ also cuts the lineage for everything downstream.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
@@ -69,6 +68,8 @@ class RevenueModel:
         # original never tests customer-month uniqueness), so movements use the
         # bucketed, skew-safe LAG by default.
         self.skew_safe = skew_safe
+        # Counts that ``build`` has observed while it wrote a table.
+        self.observed: dict[str, dict[str, int]] = {}
 
     def _raw(self, name: str) -> DataFrame:
         src = self.bronze[name]
@@ -124,12 +125,15 @@ class RevenueModel:
 
     @classmethod
     def from_bronze(cls, spark: SparkSession, location: str, fmt: str = "parquet",
-                    skew_safe: bool = True) -> RevenueModel:
+                    skew_safe: bool = True, quarantine: str | None = None,
+                    options: Mapping[str, str] | None = None) -> RevenueModel:
         """Model over the four declared bronze tables in a folder or catalog schema.
 
         The calendar spans the months of the subscriptions and of the signups.
+        Rows that cannot be read as declared fail the queries that meet them,
+        or are written to ``quarantine`` and left out.
         """
-        tables = read_bronze_tables(spark, location, fmt)
+        tables = read_bronze_tables(spark, location, fmt, options, quarantine)
         seen = (tables["raw_subscriptions"].select("month").unionByName(
             tables["raw_customers"].select(F.col("signup_date").alias("month"))))
         return cls(spark, tables, calendar_source=seen, calendar_column="month", skew_safe=skew_safe)
@@ -231,6 +235,10 @@ class RevenueModel:
             raise KeyError(f"fiscal quarter {fq!r} is not in the calendar")
         return reporting.close_report(self.waterfall, self.arr_movements, self.nrr_cohorts, fq)
 
+    def write_close_report(self, path: str, fq: str | None = None, fmt: str = "parquet") -> dict[str, str]:
+        """Write the close datasets of one quarter, leaving the others as they are, or of all quarters."""
+        return marts.write_close_report(self.close_report(fq), path, fmt, [fq] if fq is not None else None)
+
     def dq_tables(self) -> dict[str, DataFrame]:
         return {
             "stg_customers": self.stg_customers,
@@ -245,56 +253,79 @@ class RevenueModel:
         }
 
     def data_quality(self) -> DataFrame:
-        return quality.run_all(self.dq_tables())
+        """The declared checks; of tables that ``build`` has written, with what it observed."""
+        return quality.run_all(self.dq_tables(), self.observed)
 
     # --- materialisation -------------------------------------------------
-    def build(self, root: str, concurrent_writes: int = 4, as_tables: bool = False) -> RevenueModel:
+    def build(self, root: str, concurrent_writes: int = 4, as_tables: bool = False,
+              buckets: int | None = None) -> RevenueModel:
         """Rebuild silver and gold and return a model that reads them back.
 
-        ``root`` is a folder (``root/silver``, ``root/gold``) or, with
-        ``as_tables``, a catalog schema.  ``stg_subscriptions`` feeds every mart
-        but the calendar, so it is written first, as a Parquet silver table:
-        each mart reads only its columns, and a lost executor reads it again.
-        The marts are independent jobs over it and are submitted together.  In a
-        folder they are written beside the old ones, which are replaced only
-        when all are complete; catalog tables are overwritten one by one.
+        ``root`` is a folder (``marts.MartStore``) or, with ``as_tables``, the
+        prefix of the layers' catalog schemas (``marts.CatalogMarts``).
+        ``stg_subscriptions`` feeds every mart but the calendar, so it is
+        written first, as a silver table: each mart reads only its columns, and
+        a lost executor reads it again.  The marts are independent jobs over it
+        and are submitted together.  Nothing that readers see changes before
+        all are complete; a build that fails leaves the version before it.
+
+        ``buckets``, for tables: the silver tables are bucketed by customer and
+        sorted by month, so that the LAG, the customer aggregates and the joins
+        on the customer need no shuffle.  A bucket is one task's, so this is
+        for data with a bounded number of rows a customer.
         """
-        run = uuid.uuid4().hex
-
-        def target(name: str, layer: str = "gold", new: bool = False) -> str:
-            if as_tables:
-                return f"{root}.{name}"
-            path = marts.mart_path(root, name, layer)
-            return f"{path}.{run}" if new else path
-
-        def save(df: DataFrame, name: str, by: list[str] | None = None, layer: str = "gold") -> None:
-            marts.write_mart(df, target(name, layer, new=True), by, as_tables)
-
-        save(self.stg_subscriptions, "stg_subscriptions", layer="silver")
-        built = self.with_bronze()  # nothing cached but the calendar's span
-        built.__dict__.pop("calendar", None)
-        built.__dict__["stg_subscriptions"] = marts.read_mart(
-            self.spark, target("stg_subscriptions", "silver", new=True), as_tables)
-        frames = {name: getattr(built, attr) for name, attr in MARTS.items()}  # plan on this thread
-        # Movements are read one quarter at a time (close report, dashboards):
-        # partition the mart by quarter so such reads prune to one folder.
-        # Range-partitioning by (quarter, customer) first gives balanced tasks
-        # that each write one or two quarter folders: few files, and a hot
-        # quarter is split over many tasks instead of landing in one.
-        frames["fct_arr_movements"] = frames["fct_arr_movements"].repartitionByRange(
-            "fiscal_quarter", "customer_id")
-        partitioned = {"fct_arr_movements": ["fiscal_quarter"]}
-        with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
-            jobs = [pool.submit(save, frames[name], name, partitioned.get(name)) for name in MARTS]
-            for job in jobs:
-                job.result()
-        if not as_tables:
-            marts.replace_marts(self.spark, {target(n, new=True): target(n) for n in MARTS}
-                                | {target("stg_subscriptions", "silver", new=True): target("stg_subscriptions", "silver")})
+        if buckets and not as_tables:
+            raise ValueError("buckets need catalog tables")
+        target = marts.CatalogMarts(self.spark, root) if as_tables else marts.MartStore(self.spark, root)
+        silver = ["stg_subscriptions"] + (["stg_customers"] if buckets else [])
+        names = [("silver", n) for n in silver] + [("gold", n) for n in MARTS]
+        run = target.begin(names)
+        observed: dict[str, dict[str, int]] = {}
+
+        def save(df: DataFrame, name: str, by: list[str] | None = None, layer: str = "gold",
+                 bucket_by: tuple[int, list[str]] | None = None) -> None:
+            if bucket_by:
+                df = df.repartition(buckets, "customer_id")  # the buckets' own hash
+            df, seen = quality.observe_table(name, df)
+            marts.write_mart(df, target.staged(run, name, layer), by, as_tables, bucket_by)
+            counts = quality.observed_counts(seen) if seen is not None else None
+            if counts is not None:
+                observed[name] = counts
+
+        def staged(name: str, layer: str = "gold") -> DataFrame:
+            return marts.read_mart(self.spark, target.staged(run, name, layer), as_tables)
+
+        try:
+            order = {"stg_subscriptions": ["customer_id", "month"], "stg_customers": ["customer_id"]}
+            for name in silver:
+                save(getattr(self, name), name, None, "silver", (buckets, order[name]) if buckets else None)
+            built = self.with_bronze()  # nothing cached but the calendar's span
+            built.__dict__.pop("calendar", None)
+            for name in silver:
+                built.__dict__[name] = staged(name, "silver")
+            frames = {name: getattr(built, attr) for name, attr in MARTS.items()}  # plan on this thread
+            # Movements are read one quarter at a time (close report, dashboards):
+            # partition the mart by quarter so such reads prune to one folder.
+            # Range-partitioning by (quarter, customer) first gives balanced tasks
+            # that each write one or two quarter folders: few files, and a hot
+            # quarter is split over many tasks instead of landing in one.
+            frames["fct_arr_movements"] = frames["fct_arr_movements"].repartitionByRange(
+                "fiscal_quarter", "customer_id")
+            partitioned = {"fct_arr_movements": ["fiscal_quarter"]}
+            with ThreadPoolExecutor(max_workers=max(1, concurrent_writes)) as pool:
+                jobs = [pool.submit(save, frames[name], name, partitioned.get(name)) for name in MARTS]
+                for job in jobs:
+                    job.result()
+            record = target.commit(run, names)
+        except BaseException:
+            target.discard(run)
+            raise
+        target.expire()
         done = self.with_bronze()
         done.__dict__.pop("calendar", None)
-        done.__dict__["stg_subscriptions"] = marts.read_mart(
-            self.spark, target("stg_subscriptions", "silver"), as_tables)
+        done.observed = observed
+        for name in silver:
+            done.__dict__[name] = target.read(name, "silver", record)
         for name, attr in MARTS.items():
-            done.__dict__[attr] = marts.read_mart(self.spark, target(name), as_tables)
+            done.__dict__[attr] = target.read(name, "gold", record)
         return done

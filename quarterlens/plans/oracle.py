@@ -471,6 +471,27 @@ TAILS: dict[str, str] = {
                round(CAST(count(*) FILTER (WHERE is_missing_tier) AS DOUBLE)
                      / nullif(CAST(count(*) AS DOUBLE), 0) * 100, 2) AS missing_tier_pct
         FROM stg_subscriptions""",
+    "bronze_csv_waterfall": "SELECT * FROM waterfall",
+    "bronze_quarantine": """
+        SELECT outcome, count(*) AS rows, CAST(sum(mrr) AS DECIMAL(22,2)) AS mrr
+        FROM (SELECT CASE WHEN customer_id % 143 = 0 THEN 'rejected month mrr'
+                          WHEN customer_id % 11 = 0 THEN 'rejected month'
+                          WHEN customer_id % 13 = 0 THEN 'rejected mrr' ELSE 'read' END AS outcome,
+                     CASE WHEN customer_id % 11 <> 0 AND customer_id % 13 <> 0 THEN mrr END AS mrr
+              FROM raw_subscriptions) o
+        GROUP BY outcome""",
+    "marts_read_back": "SELECT * FROM nrr_cohorts",
+    "close_one_by_one": """
+        SELECT fiscal_quarter, ending_arr,
+               CAST(coalesce(beginning_arr, 0) AS BIGINT) AS beginning_arr,
+               CAST(coalesce(net_new_arr, 0) AS BIGINT) AS net_new_arr,
+               coalesce(qoq_growth_pct, 0.0) AS qoq_growth_pct,
+               churn_arr, expansion_arr
+        FROM waterfall""",
+    "interval_quarter_ending": "SELECT * FROM quarter_ending",
+    "interval_cohort_forward": "SELECT * FROM cohort_forward",
+    "interval_cohort_starting": "SELECT * FROM cohort_starting",
+    "interval_nrr_qend": "SELECT * FROM nrr_cohorts_qend",
     "late_invoices": """
         SELECT invoice_id, customer_id, invoice_date, period_month,
                CAST(date_diff('day', last_day(period_month), invoice_date) AS INTEGER) AS days_late

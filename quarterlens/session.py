@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +42,11 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 16,
     return spark
 
 
+def scratch_folder(spark: SparkSession, tag: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarterlens/{tag}-{uuid.uuid4().hex}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, picking a scratch one only if unset.
 
@@ -58,7 +64,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    if not sc.master.startswith("local"):
+    if sc.master.split("[")[0] != "local":  # local-cluster has executors of its own
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set; a cluster job needs a shared checkpoint folder")
     folder = tempfile.mkdtemp(prefix="ql-ckpt-")

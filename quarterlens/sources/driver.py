@@ -113,17 +113,16 @@ def subscription_changes(spark: SparkSession | DriverTables, sf_dir: str | None
     )
 
 
-def monthly_snapshots(changes: DataFrame, period_end: str | Column | None = None) -> DataFrame:
-    """Subscription change log -> one row per customer and month.
+def change_spans(changes: DataFrame, period_end: str | Column | None = None) -> DataFrame:
+    """Subscription change log -> one row per run of months with one tier and status.
 
     ``changes`` has customer_id, change_month, tier, status; the result
-    customer_id, month, plan_tier, status, with tier and status as logged.  A
-    churned change lasts one month (the customer is then silent until the
-    next change); any other change lasts until the month before the
-    customer's next change, the last one until ``period_end`` (default: the
-    latest change month in the data).  Changes after ``period_end`` and
-    months beyond it are left out.  Intervals are expanded with
-    ``explode(sequence(...))``; the next change comes from a LEAD window.
+    customer_id, first_month, last_month, tier, status.  A churned change lasts
+    one month (the customer is then silent until the next change); any other
+    change lasts until the month before the customer's next change, the last
+    one until ``period_end`` (default: the latest change month in the data).
+    Changes after ``period_end`` and months beyond it are left out.  The next
+    change comes from a LEAD window.
     """
     # Changes are unique per (customer, month), so one customer has at most
     # one row per month of history: the plain window's groups are bounded.
@@ -142,12 +141,41 @@ def monthly_snapshots(changes: DataFrame, period_end: str | Column | None = None
             .otherwise(F.col("period_end")))
     # ``least`` skips NULLs, so a change log without a period end stays whole.
     spans = spans.withColumn("last", F.least(last, "period_end")).where(F.col("last") >= F.col("change_month"))
-    return spans.select(
+    return spans.select("customer_id", F.col("change_month").alias("first_month"), F.col("last").alias("last_month"),
+                        "tier", "status")
+
+
+def monthly_snapshots(changes: DataFrame, period_end: str | Column | None = None) -> DataFrame:
+    """Subscription change log -> one row per customer and month.
+
+    customer_id, month, plan_tier, status, with tier and status as logged: the
+    months of ``change_spans``, expanded with ``explode(sequence(...))``.
+    """
+    return change_spans(changes, period_end).select(
         "customer_id",
-        F.explode(F.sequence("change_month", "last", F.expr("interval 1 month"))).alias("month"),
+        F.explode(F.sequence("first_month", "last_month", F.expr("interval 1 month"))).alias("month"),
         F.col("tier").alias("plan_tier"), "status")
 
 
+def fixture_spans(spark: SparkSession | DriverTables, sf_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(spans, single months of them whose tier is missing by rule 5 of FIXTURES.md).
+
+    The rule hits every ``FIXTURE_MISSING_TIER[1]``-th month of a customer, so a
+    span is expanded to those months alone.
+    """
+    t = _tables(spark, sf_dir)
+    end = t("orders", "o_orderdate").select(month_start(F.max("o_orderdate"))).scalar()
+    spans = change_spans(subscription_changes(t), end)
+    mult, mod = FIXTURE_MISSING_TIER
+    first, last = (F.year(c).cast("bigint") * 12 + F.month(c) for c in ("first_month", "last_month"))
+    hit = first + F.pmod(-(F.col("customer_id").cast("bigint") * mult + first), F.lit(mod))
+    hits = spans.withColumn("hit", hit).withColumn("end", last).where(F.col("hit") <= F.col("end"))
+    months = hits.withColumn("ym", F.explode(F.sequence("hit", "end", F.lit(mod).cast("bigint"))))
+    month = F.make_date(F.floor((F.col("ym") - 1) / 12).cast("int"), (F.pmod(F.col("ym") - 1, F.lit(12)) + 1).cast("int"),
+                        F.lit(1))
+    return spans, months.select("customer_id", month.alias("month"), "tier", "status")
+
+
 def bronze_subscriptions(spark: SparkSession | DriverTables, sf_dir: str | None = None,
                          period_end: str | Column | None = None, missing_tiers: bool = True
                          ) -> DataFrame:

@@ -72,9 +72,10 @@ def test_build_writes_gold_and_reads_back(spark):
     m = RevenueModel.from_driver(spark, SF)
     root = tempfile.mkdtemp(prefix="ql-gold-")
     built = m.build(root)
-    for name in ("dim_fiscal_calendar", "dim_customers", "fct_arr_movements",
-                 "fct_revenue_waterfall", "fct_nrr_cohorts"):
-        assert os.path.isdir(os.path.join(root, "gold", name))
+    store = marts.MartStore(spark, root)
+    assert set(store.record()["marts"]) == {"silver/stg_subscriptions"} | {f"gold/{name}" for name in (
+        "dim_fiscal_calendar", "dim_customers", "fct_arr_movements", "fct_revenue_waterfall", "fct_nrr_cohorts")}
+    assert sorted(store.read("dim_customers").collect()) == sorted(m.dim_customers.collect())
     assert sorted(built.waterfall.collect()) == sorted(m.waterfall.collect())
     assert sorted(built.nrr_cohorts.collect()) == sorted(m.nrr_cohorts.collect())
 
@@ -83,8 +84,9 @@ def test_batch_job_end_to_end(spark):
     from quarterlens.plans import job
     out = tempfile.mkdtemp(prefix="ql-job-")
     assert job.main(["--sf-dir", SF, "--out", out]) == 0
-    dq = spark.read.parquet(os.path.join(out, "gold", "dq_results"))
-    assert dq.count() == 23
+    assert marts.MartStore(spark, out).read("dq_results").count() == 23
+    assert job.main(["--sf-dir", SF, "--out", out, "--quarter", "FY1997-Q3"]) == 0
+    assert marts.MartStore(spark, out).record()["version"] == 4
     assert os.path.isdir(os.path.join(out, "gold", "close_report", "summary"))
 
 
@@ -104,9 +106,9 @@ def test_movements_mart_prunes_by_quarter(spark):
 
 def test_build_into_a_catalog_schema(spark):
     m = RevenueModel.from_driver(spark, SF)
-    spark.sql("CREATE DATABASE IF NOT EXISTS ql_gold_test")
-    built = m.build("ql_gold_test", as_tables=True)
-    assert {t.name for t in spark.catalog.listTables("ql_gold_test")} >= {"stg_subscriptions", "fct_nrr_cohorts"}
+    built = m.build("ql_test", as_tables=True)
+    assert {t.name for t in spark.catalog.listTables("ql_test_silver")} >= {"stg_subscriptions"}
+    assert {t.name for t in spark.catalog.listTables("ql_test_gold")} >= {"fct_nrr_cohorts"}
     assert sorted(built.waterfall.collect()) == sorted(m.waterfall.collect())
     assert built.cohort_quarters.count() == m.cohort_quarters.count()
 
