@@ -33,6 +33,28 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Steps:
+    """The tables of a job's steps in the shared folder, removed as soon as no later step reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self._paths = spark, []
+
+    def write(self, df: DataFrame, tag: str) -> DataFrame:
+        """``materialize``, remembered for ``drop``."""
+        path = shared_folder(self.spark, tag)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._paths.append((out, path))
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Remove tables of ``write``; whatever was read from them must have been written by now."""
+        jvm = self.spark._jvm
+        for i in [i for i, (df, _) in enumerate(self._paths) if any(df is t for t in tables)][::-1]:
+            path = jvm.org.apache.hadoop.fs.Path(self._paths.pop(i)[1])
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def n_words(text):
     """Number of words of a text column, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -5,7 +5,8 @@ larger ones (large star), then the smaller ones (small star), until the edges
 are stars around each component's smallest node.  Rounds grow with the
 logarithm of the longest path.  A hot centre only ever meets a map-side
 combined minimum and a join whose other side is that one row, which adaptive
-execution can split.  Every round is written to the shared folder.
+execution can split.  Every round is written to the shared folder, and the one
+before it removed.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterlens.llm.common import materialize
+from quarterlens.llm.common import Steps
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -39,10 +40,11 @@ def connected_components(edges: DataFrame, tag: str = "components") -> DataFrame
     """
     edges = (edges.where("a != b")
              .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    edges = materialize(edges, tag)
-    state = None
+    steps, state = Steps(edges.sparkSession), None
+    edges = steps.write(edges, tag)
     while True:
-        edges = materialize(_star(_star(edges, True), False), tag)
+        before, edges = edges, steps.write(_star(_star(edges, True), False), tag)
+        steps.drop(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state or now[0] == 0:
             break

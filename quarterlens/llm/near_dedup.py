@@ -5,7 +5,7 @@ MinHash label sequences orders the nodes; two nodes are neighbours in an order
 when their labels share a long prefix.  A sorted order is kept as its prefix
 keys at the depths ``DEPTHS``: the nodes that share a key are one run of the
 order, and the run of the deepest shared key holds the longest-common-prefix
-neighbours.
+neighbours.  All runs of all orders and depths are one long table (node, key).
 
 Candidates come in four steps:
 
@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterlens.llm.common import materialize
+from quarterlens.llm.common import Steps, materialize
 from quarterlens.llm.components import connected_components
 from quarterlens.llm.textkernel import mix, shingle_set, word_hashes
 
@@ -171,14 +171,10 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _heads(runs: DataFrame) -> DataFrame:
     """Step 1: for each node the head that it shares most runs with."""
-    votes = None
-    for key in _KEYS:
-        head = runs.groupBy(key).agg(F.min(F.struct("node", "n")).alias("head"))
-        met = runs.join(head, key).select("node", "n", F.col("head.node").alias("head"),
-                                          F.col("head.n").alias("head_n"))
-        votes = met if votes is None else votes.unionByName(met)
+    head = runs.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"))
+    met = runs.join(head, "key").select("node", "n", F.col("head.node").alias("head"), F.col("head.n").alias("head_n"))
     near, far = _similar_sizes("n", "head_n")
-    return (votes.where(F.col("head") != F.col("node")).where(near & far)
+    return (met.where(F.col("head") != F.col("node")).where(near & far)
             .groupBy("node", "head").count()
             .groupBy("node").agg(F.max(F.struct("count", -F.col("head"))).alias("best"))
             .select(F.col("node").alias("a"), (-F.col("best.col2")).alias("b")))
@@ -194,45 +190,30 @@ def _regions(runs: DataFrame, key: str) -> DataFrame:
                     (F.col("all") - F.col("major.size")).alias("minors")))
 
 
-def _outsiders(runs: DataFrame) -> DataFrame:
+def _outsiders(spread: DataFrame) -> DataFrame:
     """Step 2: nodes outside a run's largest component, with members of it."""
-    votes = None
+    # Any member will do, but not the head that step 1 has tried.
+    picks = (spread.where("component = major").groupBy("key")
+             .agg(F.min(F.struct(F.xxhash64("node"), "node", "n")).alias("pick")))
+    met = (spread.where("component != major").join(picks, "key")
+           .select("node", "n", F.col("pick.node").alias("pick"), F.col("pick.n").alias("pick_n")))
     near, far = _similar_sizes("n", "pick_n")
-    for key in _KEYS:
-        spread = runs.join(_regions(runs, key), key)
-        # Any member will do, but not the head that step 1 has tried.
-        picks = (spread.where("component = major").groupBy(key)
-                 .agg(F.min(F.struct(F.xxhash64("node"), "node", "n")).alias("pick")))
-        met = (spread.where("component != major").join(picks, key)
-               .select("node", "n", F.col("pick.node").alias("pick"), F.col("pick.n").alias("pick_n")))
-        votes = met if votes is None else votes.unionByName(met)
     best = Window.partitionBy("node").orderBy(F.col("count").desc(), "pick")
-    return (votes.where(near & far).groupBy("node", "pick").count()
+    return (met.where(near & far).groupBy("node", "pick").count()
             .withColumn("place", F.row_number().over(best)).where(F.col("place") <= PICKS)
             .select(F.col("node").alias("a"), F.col("pick").alias("b")))
 
 
-def _across(ready: DataFrame, key: str) -> DataFrame:
-    """The pairs of nodes of one run but of different components, of similar sizes."""
+def _between(spread: DataFrame) -> DataFrame:
+    """Step 3: the pairs of nodes of one run but of different components, of similar sizes."""
+    ready = spread.where(F.col("minors") <= MINORS)
     minor = (ready.where("component != major")
-             .select(key, F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")))
+             .select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")))
     near, far = _similar_sizes("na", "n")
-    return (minor.join(ready, key)
+    return (minor.join(ready, "key")
             .where((F.col("component") != F.col("ca")) & near & far
                    & ((F.col("component") == F.col("major")) | (F.col("a") < F.col("node"))))
-            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")))
-
-
-def _between(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Step 3: the pairs, and the rows (node, n, key) of the more crowded runs of the least depth."""
-    pairs = crowded = None
-    for key in _KEYS:
-        open_runs = materialize(runs.join(_regions(runs, key), key), "dedup-region")
-        met = _across(open_runs.where(F.col("minors") <= MINORS), key)
-        pairs = met if pairs is None else pairs.unionByName(met)
-        runs = open_runs.where(F.col("minors") > MINORS).drop("major", "minors")
-        crowded = runs.select("node", "n", key) if crowded is None else crowded
-    return pairs.distinct(), crowded
+            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
 
 
 def _rarest_first(dense: DataFrame) -> DataFrame:
@@ -296,38 +277,54 @@ def _contracted(found: DataFrame, links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs(doc_id, text)``."""
+    steps = Steps(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profiles = materialize(docs.mapInArrow(_profiles, _PROFILE), "dedup-profiles")
-    linkable = profiles.where("n_shingles > 0 and doc_id is not null")
+    profiles = steps.write(docs.mapInArrow(_profiles, _PROFILE), "dedup-profiles")
     classes = ["h1", "h2", "n_shingles"]
-    nodes = linkable.groupBy(*classes).agg(
+    ids = materialize(profiles.select("doc_id", *classes), "dedup-ids")
+    has_set = "n_shingles > 0 and doc_id is not null"
+    classes_nodes = materialize(ids.where(has_set).groupBy(*classes).agg(F.min("doc_id").alias("node")), "dedup-nodes")
+    keys = profiles.where(has_set).groupBy(*classes).agg(
         F.min("doc_id").alias("node"), *(F.any_value(k).alias(k) for k in _KEYS))
-    forest = nodes.select("node", F.col("n_shingles").alias("n"),
-                          F.explode(F.arrays_zip(*_KEYS)).alias("k")).select("node", "n", "k.*")
-    # A key of the least depth that one node alone has leads nowhere.
-    shared = forest.groupBy(_KEYS[0]).agg(F.count("*").alias("c")).where("c > 1").select(_KEYS[0])
-    runs = materialize(forest.join(shared, _KEYS[0], "left_semi"), "dedup-runs")
-    sets = materialize(
+    # One row for each node, order and depth; the keys of the least depth come first.
+    forest = keys.select("node", F.col("n_shingles").alias("n"), F.posexplode(F.concat(*_KEYS)).alias("at", "key")) \
+        .select("node", "n", "key", (F.col("at") < TREES).alias("shallow"))
+    # A key that one node alone has leads nowhere.
+    shared = forest.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    runs = steps.write(forest.join(shared, "key", "left_semi"), "dedup-runs")
+    steps.drop(profiles)
+    sets = steps.write(
         docs.join(runs.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
         .mapInArrow(_sets, "node long, shingles array<long>"), "dedup-sets")
 
+    def spread() -> DataFrame:
+        """The rows of the runs that span several of the components found so far."""
+        parts = _with_components(runs, found, "key", "shallow")
+        return steps.write(parts.join(_regions(parts, "key"), "key"), "dedup-spread")
+
     found = connected_components(_verified(_heads(runs), sets), "dedup-cc")
-    parts = materialize(_with_components(runs, found, *_KEYS), "dedup-parts")
-    found = _contracted(found, _verified(_outsiders(parts), sets))
-    parts = materialize(_with_components(runs, found, *_KEYS), "dedup-parts")
-    pairs, crowded = _between(parts)
-    found = _contracted(found, _verified(pairs, sets))
-    key = _KEYS[0]
-    crowded = _with_components(crowded, found, key)
-    dense = materialize(crowded.join(_regions(crowded, key), key, "left_semi").select("node", "n").distinct(), "dedup-dense")
+    some = spread()
+    found = _contracted(found, _verified(_outsiders(some), sets))
+    steps.drop(some)
+    some = spread()
+    found = _contracted(found, _verified(_between(some), sets))
+    # The crowded runs of the least depth, if they still span several components.
+    crowded = _with_components(some.where(F.col("shallow") & (F.col("minors") > MINORS)).drop("component"), found, "key")
+    dense = steps.write(crowded.join(_regions(crowded, "key"), "key", "left_semi").select("node", "n").distinct(),
+                        "dedup-dense")
+    steps.drop(runs, some)
     if not dense.isEmpty():
-        sets = materialize(sets.join(dense, "node").select("node", "n", "shingles"), "dedup-dense-sets")
-        tried = materialize(_exact(sets, found), "dedup-exact")
-        found = _contracted(found, _verified(tried, sets))
-    of_class = (nodes.select(*classes, "node").join(found, "node", "left")
+        dense_sets = steps.write(sets.join(dense, "node").select("node", "n", "shingles"), "dedup-dense-sets")
+        steps.drop(sets)
+        tried = steps.write(_exact(dense_sets, found), "dedup-exact")
+        found = _contracted(found, _verified(tried, dense_sets))
+        steps.drop(dense_sets, tried)
+    else:
+        steps.drop(sets)
+    steps.drop(dense)
+    of_class = (classes_nodes.join(found, "node", "left")
                 .select(*classes, F.coalesce("component", "node").alias("component_id")))
-    ids = profiles.select("doc_id", *classes)
-    linked = ids.where("n_shingles > 0 and doc_id is not null").join(of_class, classes)
+    linked = ids.where(has_set).join(of_class, classes)
     alone = ids.where("n_shingles = 0 or doc_id is null").withColumn("component_id", F.col("doc_id"))
     return linked.unionByName(alone).select(
         "doc_id", "n_shingles", "component_id",
