@@ -10,12 +10,14 @@ Any other section (a list, table, quote or nested div of short lines) belongs
 to the smallest section around it with content lines, and stays where it stands
 between the first and the last of them.
 
-An article or main element overrides the ratio: where a page has some, the
-text is that of those with content lines, whole, or of all if none has any.
+An article or main element is a hint: where at least half of the selected text is in
+such elements, what stands outside them goes.
 
 Elements that cannot be article text are skipped while parsing: scripts,
-styles, navigation, footers, forms, and elements whose class, id or role says
-advert, notice, menu, sidebar, comment and the like.
+styles, navigation, footers, forms, hidden ones and those of such a role.
+An element with a class or id that is, as a whole word between blanks, the name
+of an advert, notice, menu, sidebar, comment and the like goes as well, unless
+it holds most of the page's text: a name alone deletes no page.
 
 Edge cases: null or empty html gives an empty text; text outside any element
 is a line of the body; unclosed and stray tags are tolerated; a null page_id or
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -48,16 +51,16 @@ INLINE = frozenset(
     "strike strong sub sup time tt u var wbr img".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
-SKIPPED_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notices?|alert|popup|modal|overlay|"
-    r"nav\w*|menu\w*|breadcrumbs?|sidebar|side|widget|footer|header|masthead|comments?|replies|reply|disqus|respond|"
-    r"share|sharing|social|related|recommend\w*|newsletter|subscribe|signup|login|search|pagination|pager|toolbar|"
-    r"hidden|skip)(?:$|[\s_-])", re.IGNORECASE)
+NAMES = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
+    "notice notices alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar side widget "
+    "footer header masthead comment comments reply replies disqus respond share sharing social related recommended "
+    "recommendations newsletter subscribe signup login search pagination pager toolbar hidden skip".split())
 _SPACE = re.compile(r"\s+")
 
 
 class _Lines(HTMLParser):
-    """Collects lines: [text parts, tags, section number, in an article]."""
+    """Collects lines: [text parts, tags, section number, in an article, named elements around it]."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -65,6 +68,8 @@ class _Lines(HTMLParser):
         self.open: list[tuple[str, int, int]] = [("body", 0, 0)]  # element, section, article
         self.sections = self.articles = 0
         self.parents = [0]  # of each section, the one around it
+        self.named: list[list] = []  # open elements of a name: element, open ones of that kind, sections open, number
+        self.names = 0
         self.skip: list[str] = []  # open elements from the outermost skipped one on
         self.heading_of_header = False
         self.broken = True
@@ -76,12 +81,11 @@ class _Lines(HTMLParser):
         if tag in SKIPPED:
             return True
         if tag in ("html", "body", "article", "main"):
-            return tag == "article" and any(k == "class" and v and re.search(r"comment|reply", v) for k, v in attrs)
+            return False
         if tag == "header":
             return not self.open[-1][2]
         for key, value in attrs:
-            if value and (key in ("class", "id") and SKIPPED_NAMES.search(value)
-                          or key == "role" and value.lower() in SKIPPED_ROLES):
+            if value and key == "role" and value.lower() in SKIPPED_ROLES:
                 return True
             if key == "hidden" or key == "aria-hidden" and value == "true" or \
                     key == "style" and value and re.search(r"display\s*:\s*none", value):
@@ -108,6 +112,14 @@ class _Lines(HTMLParser):
             return
         if tag == "body" and len(self.open) > 1:
             return
+        if self.named and self.named[-1][0] in ("p", "li") and tag not in INLINE:
+            self.named.pop()  # its end tag may be left out
+        for entry in self.named:
+            entry[1] += entry[0] == tag
+        if tag not in ("html", "body", "main") and any(
+                key in ("class", "id") and value and not NAMES.isdisjoint(value.lower().split()) for key, value in attrs):
+            self.names += 1
+            self.named.append([tag, 1, len(self.open), self.names])
         if tag in SECTIONS and tag != "body":
             self.sections += 1
             self.parents.append(self.open[-1][1])
@@ -139,6 +151,13 @@ class _Lines(HTMLParser):
                 if self.open[i][0] == tag:
                     del self.open[i:]
                     break
+        for entry in self.named:
+            entry[1] -= entry[0] == tag
+        if self.named:  # closed, or left open in a section that is closed
+            before = len(self.named)
+            self.named = [e for e in self.named if e[1] > 0 and e[2] <= len(self.open)]
+            if len(self.named) != before:
+                self._break()
 
     def handle_data(self, data):
         if self.skip:
@@ -147,7 +166,7 @@ class _Lines(HTMLParser):
             if data.isspace():
                 return
             _, section, article = self.open[-1]
-            self.lines.append([[], 1, section, article])
+            self.lines.append([[], 1, section, article, tuple(e[3] for e in self.named)])
             self.broken = False
         self.lines[-1][0].append(data)
 
@@ -170,9 +189,8 @@ def main_text(html: str | None) -> str:
     for at in range(0, len(html), FEED):
         parser.feed(html[at:at + FEED])
     parser.close()
-    lines = [(_SPACE.sub(" ", "".join(parts)).strip(), tags, section, article)
-             for parts, tags, section, article in parser.lines]
-    lines = [x for x in lines if x[0]]
+    lines = [(_SPACE.sub(" ", "".join(parts)).strip(), *rest) for parts, *rest in parser.lines]
+    lines = _without_named([x for x in lines if x[0]])
     if not lines:
         return ""
     smooth = smoothed([len(text) / tags for text, tags, _, _ in lines])
@@ -180,13 +198,10 @@ def main_text(html: str | None) -> str:
     spread = math.sqrt(sum((s - mean) ** 2 for s in smooth) / len(smooth))
     least = min(mean, spread)
     content = [i for i, s in enumerate(smooth) if s >= least]
-    if any(article for _, _, _, article in lines):
-        chosen = {lines[i][3] for i in content} - {0} or {article for _, _, _, article in lines}
-        return " ".join(text for text, _, _, article in lines if article and article in chosen)
     own = {lines[i][2] for i in content}
     first, last = (_reached(order, lines, parser.parents) for order in (content, content[::-1]))
     kept, around = [], {}
-    for i, (text, _, section, _) in enumerate(lines):
+    for i, (_, _, section, _) in enumerate(lines):
         path, at = [], section
         while at not in first and at not in around:
             path.append(at)
@@ -194,8 +209,20 @@ def main_text(html: str | None) -> str:
         at = around.get(at, at)
         around.update(dict.fromkeys(path, at))
         if section in own or first[at] <= i <= last[at]:
-            kept.append(text)
-    return " ".join(kept)
+            kept.append(lines[i])
+    inside = [x for x in kept if x[3]]
+    if 2 * sum(len(x[0]) for x in inside) >= sum(len(x[0]) for x in kept):
+        kept = inside
+    return " ".join(x[0] for x in kept)
+
+
+def _without_named(lines: list[tuple]) -> list[tuple]:
+    """The lines outside the named elements that hold at most half of the text: (text, tags, section, article)."""
+    total, chars = sum(len(x[0]) for x in lines), Counter()
+    for text, *_, names in lines:
+        for name in names:
+            chars[name] += len(text)
+    return [x[:4] for x in lines if all(2 * chars[name] > total for name in x[4])]
 
 
 def _reached(order: list[int], lines: list[tuple], parents: list[int]) -> dict[int, int]:

@@ -172,3 +172,58 @@ def test_nearest_odd_rows(spark):
     got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in vectors.nearest(table).collect())
     assert got == [(0, 1, 20, 1.0), (0, 2, 5, 0.5), (20, 1, 0, 1.0), (20, 2, 5, 0.5)]
     assert vectors.nearest(table.limit(0)).count() == 0
+
+
+BODY = "<p>The first paragraph of the story is long enough to count as text.</p><p>And so is the second one, of course.</p>"
+STORY = "The first paragraph of the story is long enough to count as text. And so is the second one, of course."
+
+
+@pytest.mark.parametrize("name", [
+    "content has-sidebar", "content-with-sidebar", "no-sidebar", "social-science", "side-by-side", "entry-header",
+    "post-hidden-gems", "recommendation-letter", "login-guide", "navy", "content sidebar", "header"])
+@pytest.mark.parametrize("around", ["{}", "<article>{}</article>"])
+def test_a_name_deletes_no_page(name, around):
+    for attribute in ("class", "id"):
+        page = around.format(f'<div {attribute}="{name}">{BODY}</div>')
+        assert html_text.main_text(f"<html><body>{page}</body></html>") == STORY
+
+
+def test_named_parts_go_and_headings_stay():
+    page = (f'<div class="Ad big">buy now</div><div id="wrap">{BODY}<h2 class="section-header">More of the story to be read</h2>'
+            f'{BODY}<p class="comments">nice one</p><div class="comment"><div>deep</div>down</div></div>')
+    assert html_text.main_text(page) == f"{STORY} More of the story to be read {STORY}"
+    for unclosed in ('<li class="menu">home<p>', '<div class="ad">buy'):
+        assert html_text.main_text(f"<div>{unclosed}</div><div>{BODY}</div>") == STORY
+
+
+def test_an_article_is_a_hint():
+    assert html_text.main_text(f"<article><p>x</p></article>{BODY}") .endswith(STORY)
+    assert html_text.main_text(f"<p>Some words before it.</p><article>{BODY}</article><p>Some words after it.</p>") == STORY
+
+
+def test_pages_of_the_table_with_and_without_article(spark):
+    rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    for r in rows:
+        plain = re.sub(r"<(/?)(article|main)\b", r"<\1div", r.html)
+        inner = re.search(r"<article\b.*</article>", r.html, re.S)
+        assert html_text.main_text(r.html) == html_text.main_text(plain) != "" and inner
+
+
+def test_smoothing_and_threshold_by_brute_force():
+    rng = np.random.default_rng(7)
+    for _ in range(200):
+        ratios = rng.exponential(50, size=int(rng.integers(1, 30)))
+        want = []
+        for i in range(len(ratios)):
+            near = [j for j in range(len(ratios)) if abs(i - j) <= html_text.RADIUS]
+            weights = np.exp(-np.array([(i - j) ** 2 for j in near]) / (2 * html_text.SIGMA ** 2))
+            want.append(float((weights * ratios[near]).sum() / weights.sum()))
+        got = html_text.smoothed(ratios.tolist())
+        assert np.allclose(got, want)
+        # Flat paragraphs in sections of their own: those with a line over the threshold are selected.
+        texts = ["w" * max(1, int(r)) for r in ratios]
+        smooth = np.array(html_text.smoothed([float(len(t)) for t in texts]))
+        least = min(smooth.mean(), smooth.std())
+        own = [i for i, s in enumerate(smooth) if s >= least]
+        chosen = [t for i, t in enumerate(texts) if own and own[0] <= i <= own[-1]]
+        assert html_text.main_text("".join(f"<div><p>{t}</p></div>" for t in texts)) == " ".join(chosen)
