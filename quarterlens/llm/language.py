@@ -16,13 +16,18 @@ of doc_id; ``LANDMARKS_PER_LANG`` of them are landmarks.  The sample's n-gram
 sets and kernel rows, not its texts, reach the driver.  Every text is scored
 whole, long ones in pieces that overlap by two bytes.
 
-``known_language`` keeps the texts that some learned language claims: the best
-margin gives at least ``LEAST_SCORE`` (``SHORT_SCORE`` under ``SHORT_BYTES``
-bytes, which show few n-grams), and of the text's n-grams at least
-``LEAST_SHARE`` times the share that a landmark finds in the other landmarks
-are in the vocabulary.  Calibrated on the tables of sf0.1: the least score of
-10,000 documents is 0.488, 0.375 under 48 bytes; ten unlearned languages get at
-most 0.46 or know at most 4% of their n-grams, learned texts know 97%.
+``known_language`` keeps the texts that some learned language claims.  What
+claims a text is calibrated when the model is fitted, on fragments of the
+sample's texts that are no landmarks, each scored by a model that was fitted
+without its half of them.  A language claims a text whose margin is at least
+where the errors are equal: as large a share of the languages' own fragments
+stays under it as of the other languages' fragments reaches it.  And a text has
+to know its trigrams: at least ``LEAST_SHARE`` of the share that all but
+``TAIL`` of the fragments know, so that other scripts and letter soup go, to
+which no margin means anything.  The fragments' lengths run from ``FRAGMENTS``
+bytes up, all counted alike, so no size of a text has a rule of its own.  A
+text is judged together with ``PRIOR`` more trigrams that are known and speak
+neither for nor against it: a text of a few words shows little and stays.
 
 Edge cases: a text that is null or has no letter is ``und`` with score 0, and
 so is every text if nothing could be learned; rows with a null doc_id are
@@ -47,7 +52,8 @@ TRAIN_PER_LANG = 400
 LANDMARKS_PER_LANG = 40
 RIDGE = 1e-2
 HELD_OUT_MOD = 5
-LEAST_SCORE, SHORT_SCORE, SHORT_BYTES, LEAST_SHARE = 0.46, 0.3, 48, 0.5
+FRAGMENTS = (16, 32, 64, 128, 256, 1024, 4096)
+TAIL, LEAST_SHARE, PRIOR = 0.01, 0.5, 16
 BLOCK = 1 << 19
 BLOCK_ROWS = 256
 #: Codes of n-grams: three bytes, then two, then one.
@@ -99,16 +105,13 @@ class Kernel:
         self.members = np.zeros((len(self.vocabulary), len(landmarks)), dtype=np.float32)
         for j, grams in enumerate(landmarks):
             self.members[self.table[grams], j] = 1 / np.sqrt(len(grams))
-        elsewhere = np.count_nonzero(self.members, axis=1) > 1
-        #: How much of a landmark the other landmarks know.
-        self.usual_share = float(np.median([elsewhere[self.table[grams]].mean() for grams in landmarks]))
 
     def rows(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """(texts, landmarks) kernel values of a block of texts."""
-        return self.rows_and_shares(data, offsets)[0]
+        return self.rows_and_trigrams(data, offsets)[0]
 
-    def rows_and_shares(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(texts, landmarks) kernel values of a block of texts, and the share of known n-grams of each."""
+    def rows_and_trigrams(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(texts, landmarks) kernel values of a block of texts, and the known and all trigrams of each."""
         n, width = len(offsets) - 1, len(self.vocabulary)
         present = np.zeros((n, width + 1), dtype=np.float32)  # the last column takes unknown n-grams
         flat = present.reshape(-1)
@@ -124,11 +127,25 @@ class Kernel:
                 fits = left[:len(codes)] >= size
                 text, at_gram = row[:len(codes)][fits], self.table[codes[fits]]
                 flat[text * (width + 1) + at_gram % (width + 1)] = 1
-                found += np.bincount(text[at_gram >= 0], minlength=n)
-                total += np.bincount(text, minlength=n)
+                if size == 3:
+                    found += np.bincount(text[at_gram >= 0], minlength=n)
+                    total += np.bincount(text, minlength=n)
         known = present[:, :width]
         size = np.sqrt(np.maximum(known.sum(axis=1, keepdims=True), 1))
-        return known @ self.members / size, found / np.maximum(total, 1)
+        return known @ self.members / size, found, total
+
+    def of_sets(self, sets: list[np.ndarray]) -> np.ndarray:
+        """(texts, landmarks) kernel values of n-gram sets."""
+        out = np.zeros((len(sets), self.members.shape[1]))
+        for i, s in enumerate(sets):
+            at = self.table[s]
+            at = at[at >= 0]
+            out[i] = self.members[at].sum(axis=0) / np.sqrt(max(len(at), 1))
+        return out
+
+    def trigram_share(self, grams: np.ndarray) -> float:
+        threes = grams[grams < _TWO]
+        return float((self.table[threes] >= 0).mean()) if len(threes) else 1.0
 
 
 def fit(kernel_rows: np.ndarray, labels: np.ndarray, landmark_kernel: np.ndarray, ridge: float = RIDGE):
@@ -142,6 +159,41 @@ def fit(kernel_rows: np.ndarray, labels: np.ndarray, landmark_kernel: np.ndarray
     return languages, np.linalg.solve(normal, k.T @ (y * share))
 
 
+def calibrate(kernel: Kernel, landmark_kernel: np.ndarray, whole: np.ndarray, labels: np.ndarray, folds: np.ndarray,
+              pieces: list[np.ndarray], piece_labels: np.ndarray, piece_folds: np.ndarray) -> tuple[float, float]:
+    """(least score, least share of known trigrams) that claim a text; see the module's text.
+
+    ``whole`` has the kernel rows of the texts, of fold -1, 0 or 1; a piece is
+    scored by the model of the texts that are not of its fold.  Without pieces
+    nothing is rejected.
+    """
+    own, others, shares = [], [], []
+    for fold in (0, 1):
+        mine = np.flatnonzero(piece_folds == fold)
+        rest = folds != fold
+        languages, coefficients = fit(whole[rest], labels[rest], landmark_kernel) if rest.any() else ([], None)
+        mine = mine[np.isin(piece_labels[mine], languages)]
+        if not len(mine):
+            continue
+        sets = [pieces[i] for i in mine]
+        scores = (kernel.of_sets(sets) @ coefficients + 1) / 2
+        is_own = piece_labels[mine][:, None] == np.array(languages, dtype=object)[None, :]
+        own.append(scores[is_own])
+        others.append(scores[~is_own])
+        shares += [kernel.trigram_share(s) for s in sets]
+    if not own:
+        return 0.0, 0.0
+    return equal_errors(np.concatenate(own), np.concatenate(others)), float(LEAST_SHARE * np.quantile(shares, TAIL))
+
+
+def equal_errors(own: np.ndarray, others: np.ndarray) -> float:
+    """The score that as large a share of ``own`` stays under as of ``others`` reaches."""
+    at = np.sort(np.concatenate([own, others]))
+    under = np.searchsorted(np.sort(own), at, "left") / max(len(own), 1)
+    reach = 1 - np.searchsorted(np.sort(others), at, "left") / max(len(others), 1)
+    return float(at[np.argmin(np.abs(under - reach))]) if len(others) else float(own.min())
+
+
 def _held_out():
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % HELD_OUT_MOD
     return F.coalesce(remainder == 0, F.lit(False))
@@ -153,7 +205,7 @@ def _lowered():
 
 
 def train(docs: DataFrame) -> tuple | None:
-    """(landmark n-gram sets, languages, coefficients) learned from ``docs(doc_id, text, lang)``."""
+    """(landmark n-gram sets, languages, coefficients, least score, least share) learned from ``docs(doc_id, text, lang)``."""
     spark = docs.sparkSession
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~_held_out()
                        & F.col("text").rlike(r"\p{L}"))
@@ -178,27 +230,36 @@ def train(docs: DataFrame) -> tuple | None:
     def grams(batches):
         for batch in batches:
             data, offsets = string_buffers(batch.column(2))
-            sets = [gram_set(data[a:b]).astype(np.int32).tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
+            langs, ranks, sizes, sets = [], [], [], []
+            for lang, rank, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), offsets[:-1], offsets[1:]):
+                cuts = [(0, a, b)]
+                if rank > LANDMARKS_PER_LANG:  # a fragment of each length, somewhere in the text
+                    cuts += [(n, at, at + n) for n in FRAGMENTS if n < b - a
+                             for at in [a + rank * 2654435761 % (b - a - n + 1)]]
+                for size, start, end in cuts:
+                    langs.append(lang)
+                    ranks.append(rank)
+                    sizes.append(size)
+                    sets.append(gram_set(data[start:end]).astype(np.int32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sets, pa.binary())], names=["lang", "rank", "grams"])
+                [pa.array(langs, pa.string()), pa.array(ranks, pa.int32()), pa.array(sizes, pa.int32()),
+                 pa.array(sets, pa.binary())], names=["lang", "rank", "size", "grams"])
 
-    rows = (sample.select("lang", "rank", _lowered()).mapInArrow(grams, "lang string, rank int, grams binary")
-            .collect())
-    rows.sort(key=lambda r: (r["lang"], r["rank"], bytes(r["grams"])))
+    rows = (sample.select("lang", "rank", _lowered())
+            .mapInArrow(grams, "lang string, rank int, size int, grams binary").collect())
+    rows.sort(key=lambda r: (r["lang"], r["rank"], r["size"], bytes(r["grams"])))
     sets = [np.frombuffer(r["grams"], dtype=np.int32) for r in rows]
-    landmarks = [s for r, s in zip(rows, sets) if r["rank"] <= LANDMARKS_PER_LANG]
-    kernel = Kernel(landmarks)
-
-    def against(sets):
-        out = np.zeros((len(sets), len(landmarks)))
-        for i, s in enumerate(sets):
-            at = kernel.table[s]
-            at = at[at >= 0]
-            out[i] = kernel.members[at].sum(axis=0) / np.sqrt(max(len(at), 1))
-        return out
-
     labels = np.array([r["lang"] for r in rows], dtype=object)
-    return landmarks, *fit(against(sets), labels, against(landmarks))
+    whole = np.array([r["size"] == 0 for r in rows])
+    # Landmarks are of no fold: every model knows them.
+    folds = np.array([-1 if r["rank"] <= LANDMARKS_PER_LANG else r["rank"] % 2 for r in rows])
+    landmarks = [s for r, s in zip(rows, sets) if r["size"] == 0 and r["rank"] <= LANDMARKS_PER_LANG]
+    kernel = Kernel(landmarks)
+    among, texts = kernel.of_sets(landmarks), kernel.of_sets([s for s, w in zip(sets, whole) if w])
+    languages, coefficients = fit(texts, labels[whole], among)
+    claims = calibrate(kernel, among, texts, labels[whole], folds[whole], [s for s, w in zip(sets, whole) if not w],
+                       labels[~whole], folds[~whole])
+    return landmarks, languages, coefficients, *claims
 
 
 def scorer(spark, model: tuple | None) -> Callable:
@@ -208,23 +269,26 @@ def scorer(spark, model: tuple | None) -> Callable:
     shared = spark.sparkContext.broadcast(model)
 
     def make():
-        landmarks, languages, coefficients = shared.value
+        landmarks, languages, coefficients, least_score, least_share = shared.value
         kernel, names = Kernel(landmarks), np.array(languages, dtype=object)
 
         def score(column):
             data, offsets = string_buffers(column)
-            best, margin, share = [], [], [np.zeros(0)]
+            best, margin, found, total, claims = [], [], [np.zeros(0)], [np.zeros(0)], [np.zeros(0, dtype=bool)]
             for a, b in blocks(data, offsets):
-                rows, shares = kernel.rows_and_shares(data, offsets[a:b + 1])
+                rows, *trigrams = kernel.rows_and_trigrams(data, offsets[a:b + 1])
                 margins = rows @ coefficients
-                share.append(shares)
+                found.append(trigrams[0])
+                total.append(trigrams[1])
                 best.append(margins.argmax(axis=1))
                 margin.append(margins.max(axis=1))
+                judged = ((margin[-1] + 1) / 2 * total[-1] + 0.5 * PRIOR) / (total[-1] + PRIOR)
+                claims.append(judged >= least_score)
             known = np.asarray(column.is_valid())
             best = np.concatenate([np.zeros(0, np.int64), *best])
             score = np.clip((np.concatenate([np.zeros(0), *margin]) + 1) / 2, 0, 1)
-            least = np.where(np.diff(offsets) < SHORT_BYTES, SHORT_SCORE, LEAST_SCORE)
-            claimed = known & (score >= least) & (np.concatenate(share) >= LEAST_SHARE * kernel.usual_share)
+            found, total = np.concatenate(found), np.concatenate(total)
+            claimed = known & np.concatenate(claims) & ((found + PRIOR) / (total + PRIOR) >= least_share)
             return np.where(known, names[best], "und"), np.where(known, score, 0.0), claimed
 
         return score

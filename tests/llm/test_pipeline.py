@@ -38,7 +38,9 @@ def test_odd_rows_pass_all_stages(spark, odd_documents, tmp_path):
     assert sorted(r.doc_id or 0 for r in rows) == [0, 1, 8]
 
 
-def test_documents_of_unlearned_languages_go(spark, documents):
+def test_documents_of_unlearned_languages_go(spark):
+    # 10,000 documents: a model of 1,000 cannot tell this Dutch from its languages.
+    documents = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     planted = {
         "it": "Il presidente della repubblica ha dichiarato che ieri il governo ha approvato una nuova legge sulle pensioni",
         "nl": "De regering heeft gisteren een nieuwe wet aangenomen over de pensioenen van alle werknemers in het land",

@@ -266,7 +266,7 @@ def test_repeated_rows_do_not_shrink_the_language_sample(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     hot = spark.range(200_000).selectExpr("5000L as doc_id", "'alpha beta gamma' as text", "'xx' as lang")
     def learned(docs):
-        landmarks, languages, _ = language.train(docs)
+        landmarks, languages, *_ = language.train(docs)
         return len(landmarks), languages
     assert learned(docs.unionByName(hot)) == learned(docs) == (2 * language.LANDMARKS_PER_LANG, ["xx", "yy"])
 
