@@ -3,13 +3,14 @@
 Two sources of spans, in code points with exclusive ends:
 
 * the base patterns ``assign``, ``access`` and ``hex`` below;
-* ``lexed``: the text is read as source or configuration code.  A small lexer
-  yields (name, literal) and (name, other name) pairs from assignments,
-  mappings and key-value lines (``a.b = "x"``, ``"k": 'x'``, ``k: x``,
-  ``export K=x``), whatever run of blanks aligns them.  Constants are propagated: a literal counts for every name
-  that its name is assigned on to.  The literal's score is the sensitivity of
+* ``lexed``: the text is read as source or configuration code
+  (``assignments``): (name, literal) and (name, other name) pairs.  Constants
+  are propagated: a literal counts for every name that its name is assigned on
+  to, ``cfg.K`` meaning ``K`` too.  The literal's score is the sensitivity of
   the best such name times how random the literal looks; from ``MIN_SCORE``
-  its span is reported, unless a base span covers it.
+  its span is reported, unless a base span covers it.  Strings that are joined
+  have one span from the first to the last; a string or block of several lines
+  has one a line.
 
 Edge cases: null and empty texts have no spans; a null doc_id is carried;
 repeated rows give repeated results; extra columns are ignored by
@@ -27,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarterlens.llm.assignments import assignments
+
 #: The base patterns and the least lengths of what they match.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
@@ -41,11 +44,8 @@ SENSITIVE = {
     "apikey": 1.0, "accesskey": 1.0, "privatekey": 1.0, "secretkey": 1.0, "credential": 0.9,
     "credentials": 0.9, "auth": 0.7, "bearer": 0.9, "signature": 0.6, "salt": 0.6, "cert": 0.5,
 }
+_NAME = re.compile(r"[A-Za-z_]+(?:[._/-][A-Za-z_]+)*")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
-_PAIR = re.compile(
-    r"""(?<![\w.-])(?P<quote>["']?)(?P<name>[A-Za-z_][\w.-]*)(?P=quote)\s*+(?::=|=>|=(?!=)|:(?!:))[ \t]*+"""
-    r"""(?:"(?P<dq>[^"\n]+)"|'(?P<sq>[^'\n]+)'|(?P<ref>[A-Za-z_][\w.]*)(?![\w+/=-])|(?P<bare>[\w+/=.-]{8,}))""",
-    re.ASCII)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -82,7 +82,7 @@ def propagated(names: set[str], flows: dict[str, set[str]]) -> dict[str, float]:
     for name, targets in flows.items():
         for target in targets:
             into.setdefault(target, []).append(name)
-    own = {name: sensitivity(name) for name in names.union(flows, into)}
+    own = {name: 0.0 if name[:1] in "&~" else sensitivity(name) for name in names.union(flows, into)}
     worth: dict[str, float] = {}
     for best in sorted(own, key=own.get, reverse=True):  # so the first score that reaches a name is its best
         todo = [best]
@@ -94,29 +94,38 @@ def propagated(names: set[str], flows: dict[str, set[str]]) -> dict[str, float]:
     return worth
 
 
+def flow_graph(names: set[str], flows: list[tuple[str, str]]) -> dict[str, set[str]]:
+    """What flows to what.  A reference ``&q.K`` takes from ``q.K`` and from a plain ``K``, a reference ``&K`` from
+    ``K`` and, through ``~K``, from any ``q.K``; it gives to the name that it is assigned to."""
+    graph: dict[str, set[str]] = {}
+    for name in names.union(target for _, target in flows):
+        if "." in name:
+            graph.setdefault(name, set()).add("~" + name.rsplit(".", 1)[-1])
+    for ref, target in flows:
+        use = "&" + ref
+        graph.setdefault(use, set()).add(target)
+        for giver in (ref, ref.rsplit(".", 1)[-1] if "." in ref else "~" + ref):
+            graph.setdefault(giver, set()).add(use)
+    return graph
+
+
 def lexed_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of literals that reach a sensitive name."""
-    if ":" not in text and "=" not in text:
+    if ":" not in text and "=" not in text and "(" not in text and "</" not in text:
         return []
-    literals, flows, at = [], {}, 0
-    while m := _PAIR.search(text, at):
-        at = m.end()
-        kind = next(k for k in ("dq", "sq", "ref", "bare") if m[k] is not None)
-        if kind == "ref":
-            flows.setdefault(m[kind], set()).add(m["name"])
-            at = m.start(kind)  # the reference may be the name of the next pair
-        if kind != "ref" or len(m[kind]) >= 8:
-            literals.append((m["name"], m[kind], m.start(kind), m.end(kind)))
-    worth = propagated({name for name, *_ in literals}, flows)
-    defined = {name for name, *_ in literals}
-    out = []
-    for name, literal, start, end in literals:
-        if literal in defined and literal in flows:
-            continue  # a use of another constant, not a literal
+    pairs, flows = assignments(text)
+    defined, used = {pair.name for pair in pairs}, {ref for ref, _ in flows}
+    worth = propagated(defined, flow_graph(defined, flows))
+    out = set()
+    for name, literal, start, end, argument in pairs:
         score = worth[name]
-        if score and score * randomness(literal) >= MIN_SCORE:
-            out.append(("lexed", start, end))
-    return out
+        if not score or literal in defined and literal in used:
+            continue  # nothing sensitive, or a use of another constant
+        if argument and _NAME.fullmatch(literal) and sensitivity(literal):
+            continue  # what a call looks up by its name
+        if score * randomness(literal) >= MIN_SCORE:
+            out.add(("lexed", start, end))
+    return sorted(out, key=lambda s: s[1:])
 
 
 def all_spans(text: str | None) -> tuple[list, list]:

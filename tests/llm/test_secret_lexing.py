@@ -1,0 +1,120 @@
+"""Operator 10's lexer against generated sources whose secrets are known."""
+
+from __future__ import annotations
+
+import random
+import re
+import time
+
+import pytest
+
+from quarterlens.llm import secrets
+from quarterlens.llm.assignments import assignments
+
+V = "hV7kq2PzX9wT4"
+
+#: How a name may get a literal: {n} a name, {v} the literal.
+FORMS = [
+    '{n} = "{v}"', "{n}='{v}'", "{n}: {v}", "{n}={v}", 'export {n}={v}', '{n} := "{v}"', '"{n}": "{v}",', "'{n}' => '{v}',",
+    '{n} = """{v}"""', "{n} = '''\n{v}\n'''", '{n} = f"{v}"', 'const {n} = `{v}`;', 'String {n} = "{v}";', '{n}: str = "{v}"',
+    'let {n}: string = "{v}";', 'let {n}?: Optional[str] = "{v}"', 'os.environ["{n}"] = "{v}"', "$config['db']['{n}'] = '{v}';",
+    'self.{n} = "{v}"', 'this->{n} = "{v}";', 'String {n} = new String("{v}");', '{n} = decode(trim("{v}"))', '<{n}>{v}</{n}>',
+    '<{n} kind="x">\n  {v}\n</{n}>', '<add key="{n}" value="{v}"/>', '<entry key="{n}">{v}</entry>', '<db user="x" {n}="{v}">',
+    '{n} =\n    "{v}"', '{n} =\n    {v}\n', '{n} = (\n    "{v}"\n)', '{n}: |\n  {v}\n', '{n}: >-\n    {v}\n', 'put("{n}", "{v}")',
+    "define('{n}', '{v}');", 'cfg.set("{n}", "{v}")', 'cfg.set_{n}("{v}")', '- name: {n}\n  value: {v}',
+    '{{"name": "{n}", "value": "{v}"}}', 'connect(user="bob", {n}="{v}")', 'x = connect("host", {n}="{v}")', 'x = {{ {n}: "{v}" }}',
+    '// {n} = "{v}"', '# {n}: {v}', '@Value("x") String {n} = "{v}";', 'ENV {n}={v}', '[db]\n{n} = {v}\n',
+    'K{i} = "{v}"\n{n} = K{i}', 'K{i} = "{v}"\n{n} = cfg.K{i}', 'cfg.K{i} = "{v}"\nfrom cfg import K{i}\n{n} = K{i}',
+    '{n} = K{i}\nK{i} = "{v}"', 'a{i} = b{i} = "{v}"\n{n} = a{i}', 'K{i}={v}\n{n}=${{K{i}}}', '{n} = decode(K{i})\nK{i} = "{v}"',
+]
+SENSITIVE = ["db_pwd", "DB_PWD", "dbPwd", "credentials", "user_credential", "passphrase"]
+HARMLESS = ["title", "build_id", "colour", "revision", "digest_of", "sheetName"]
+PROSE = ["", "It's the dogs' bone, don't worry.", "Note: see (the list) of 'things' \"below\".", "import os, sys", "if x == 1: pass",
+         "a < b and c > d; e != f", "/* note: nothing */", "print(f'{x} items')", "the 'tis of thee, \"quoted\" text", "---"]
+
+
+def literal(rng):
+    while True:
+        value = "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(rng.randint(14, 24)))
+        if value[0].isalpha() and secrets.randomness(value) > 0.8 and not secrets.sensitivity(value):
+            return value
+
+
+def lexed(text):
+    return [text[a:b] for k, a, b in secrets.all_spans(text)[1] if k == "lexed"]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_each_form(form):
+    for name in SENSITIVE:
+        text = form.format(n=name, v=V, i=0)
+        assert lexed(text) == [V], text
+    for name in HARMLESS:
+        assert lexed(form.format(n=name, v=V, i=0)) == []
+
+
+def test_generated_sources():
+    rng = random.Random(7)
+    for _ in range(300):
+        lines, planted = [], []
+        for i in range(rng.randint(1, 30)):
+            value, good = literal(rng), rng.random() < 0.5
+            lines += [rng.choice(FORMS).format(n=rng.choice(SENSITIVE if good else HARMLESS), v=value, i=i), rng.choice(PROSE)]
+            planted += [value] if good else []
+        text = "\n".join(lines)
+        base = secrets.base_spans(text)
+        found = lexed(text)
+        assert sorted(found) == sorted(planted), text
+        assert not base and secrets.redact(text).count("[REDACTED]") == len(planted)
+        assert not any(v in secrets.redact(text) for v in planted)
+
+
+def test_joined_and_escaped_strings():
+    assert lexed(r'db_pwd = "hV7kq2\"PzX9wT4"') == [r'hV7kq2\"PzX9wT4']
+    assert lexed(r"db_pwd = 'hV7kq2\'PzX9wT4'") == [r"hV7kq2\'PzX9wT4"]
+    assert lexed('db_pwd = f"hV7kq2{x}PzX9wT4"') == ["hV7kq2{x}PzX9wT4"]
+    for between in ('" + "', '" "', '" .\n "', '" ..  "', '" \\\n    "', '" + salted + "'):
+        assert secrets.redact(f'db_pwd = ("hV7kq2{between}PzX9wT4")') == 'db_pwd = ("[REDACTED]")'
+    assert lexed(f"passphrase: |\n  {V}\n\n  {V}x\n  two words\nother: {V}y") == [V, V + "x"]
+    assert lexed(f'db_pwd = """{V}\n{V}x"""') == [V, V + "x"]
+    assert lexed(f"DB_PWD={V}!@#x") == [V + "!@#x"]
+
+
+def test_what_is_no_literal_of_the_name():
+    assert lexed('pwd = os.getenv("DATABASE_CREDENTIALS")') == []
+    assert lexed(f'x.K = "{V}"\ndb_pwd = cfg.K') == []
+    assert lexed(f'title: str = "{V}"\ndb_pwd: str = read()') == []
+    assert lexed(f'auth("{V}")\nget_pwd("{V}")') == []
+    assert lexed(f"db_pwd:\n{V}x\n") == []
+    assert lexed(f"credentials: none\ntitle: {V}") == []
+    assert lexed(f'text = "db_pwd = {V}"') == []
+
+
+def test_names_and_literals_in_order():
+    pairs, flows = assignments('a.b = "x"\nc = a.b\nput("k", "v")')
+    assert [p[:2] for p in pairs] == [("a.b", "x"), ("k", "v")] and flows == [("a.b", "c")]
+    assert assignments("") == ([], [])
+
+
+def test_long_texts_take_one_pass():
+    n = 60_000
+    texts = ["w " * n + "=", '"' + '\\"' * n, " 'a" * n, "x" + " " * n + "=", "a[" * n, "a:b[" * n, "a(" * n, 'a("x",' * n, "<a " * n,
+             "<a>b" * n, "a:\n" * n, "`a\\" * n, "a=" * n, "a: |\n " * n, 'p="a"+' * n, "a." * n, "a" * n + ":", '"""a' * n, "f'a" * n,
+             "x=" + "(" * n + '"a",' * n, 'x="ab"' + '"ab"' * n, "name=a value=b " * n, '"ab":' * n, "a=\n\n\n" * n, "a->" * n,
+             "a=b." * n, "x=a\\\n" * n, "a: b[c, " * n, "(" * n + ")" * n, "'''" * n + "=", "a=$" * n, "a={" * n, "name: " * n]
+    for text in texts:
+        start = time.monotonic()
+        secrets.all_spans(text)
+        assert time.monotonic() - start < 30, text[:20]
+
+
+def test_base_spans_stay():
+    rng = random.Random(3)
+    bits = ["token", "api_key", "=", ":", " ", '"', "'", "`", "\n", "AKIA", "ABCDEFGH1234", "deadbeef" * 4, "(", ")", "<pwd>", "</pwd>",
+            "hV7kq2PzX9wT4", "\\", "+", "db_pwd", "é", "|", "value", "key", '"""', "{", "}"]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 25)))
+        base, spans = secrets.all_spans(text)
+        assert base == secrets.base_spans(text) and set(base) <= set(spans)
+        assert all(0 <= a < b <= len(text) for _, a, b in spans)
+        assert len(re.sub(r"\[REDACTED\]", "", secrets.redact(text))) <= len(text)
