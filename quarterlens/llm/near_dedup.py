@@ -1,16 +1,18 @@
 """Operator 1: near-duplicate groups by an LSH forest over word shingles.
 
 Every distinct shingle set is a node.  A forest of ``TREES`` independent
-MinHash label sequences orders the nodes; two nodes are neighbours in an order
-when their labels share a long prefix.  A sorted order is kept as its prefix
-keys at the depths ``DEPTHS``: the nodes that share a key are one run of the
-order, and the run of the deepest shared key holds the longest-common-prefix
-neighbours.  All runs of all orders and depths are one long table (node, key).
+MinHash label sequences orders the nodes: each order is sorted by its labels
+(range partitioning, then a sort inside the partitions), so nodes whose labels
+share a long prefix stand together.  The longest-common-prefix neighbours of a
+node are the rows before and after it; the depth of what they share, in single
+labels from ``DEPTHS[0]`` up, adapts to how crowded its region is.  Nodes that
+share their first labels up to one of ``DEPTHS`` are a run of the order.
 
 Candidates come in four steps:
 
-1. each node meets, of the heads of its runs at all depths, the one it shares
-   most runs with.  This contracts copies and dense regions into components;
+1. each node meets, of its neighbours in all sorted orders, the one with the
+   deepest common prefixes in sum, and, of the heads of its runs, the one it
+   shares most runs with.  This contracts copies and dense regions;
 2. each node outside the largest component of one of its runs meets, of the
    members that stand for those components in its runs, the ``PICKS`` it shares
    most runs with;
@@ -76,20 +78,43 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out.reshape(TREES, DEPTHS[-1])
 
 
-def prefix_keys(sig: np.ndarray) -> np.ndarray:
-    """(len(DEPTHS), orders) keys: one per order and prefix depth."""
+def order_rows(sig: np.ndarray) -> np.ndarray:
+    """(3, orders): what each order is sorted by, a hash of the first four labels and 16 bits of each of the others."""
     key = mix(_TREE)
-    keys = []
-    for depth in range(DEPTHS[-1]):
+    for depth in range(DEPTHS[0]):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, depth].astype(np.uint64) + np.uint64(1))
-        if depth + 1 in DEPTHS:
-            keys.append(key)
+    bits = mix(sig[:, DEPTHS[0]:].astype(np.uint64) + np.uint64(1)) >> np.uint64(48)
+    packed = bits.reshape(TREES, -1, 4) << np.array([48, 32, 16, 0], dtype=np.uint64)
+    return np.stack([key, *packed.sum(axis=2, dtype=np.uint64).T])
+
+
+def run_keys(rows: np.ndarray) -> np.ndarray:
+    """(len(DEPTHS), n) keys of the runs that (3, n) rows of the orders belong to, one per depth."""
+    keys = [rows[0]]
+    for depth in DEPTHS[1:]:
+        left = 16 * (depth - DEPTHS[0])
+        first = rows[1] >> np.uint64(max(64 - left, 0))
+        second = rows[2] >> np.uint64(128 - left) if left > 64 else np.zeros_like(first)
+        keys.append(mix(mix(rows[0] + np.uint64(depth)) ^ mix(first + np.uint64(depth)) * np.uint64(3) ^ mix(second)))
     return np.stack(keys)
 
 
-_KEYS = [f"k{d}" for d in DEPTHS]
+def prefix_keys(sig: np.ndarray) -> np.ndarray:
+    """(len(DEPTHS), orders) keys: one per order and prefix depth."""
+    return run_keys(order_rows(sig))
+
+
+def common_depths(rows: np.ndarray) -> np.ndarray:
+    """How many first labels each of (3, n) sorted rows shares with the row before it; 0 if less than the least depth."""
+    apart = rows[1:, 1:] ^ rows[1:, :-1]
+    equal = sum((apart >> np.uint64(k) == 0).astype(np.int64) for k in (48, 32, 16, 0))
+    deep = DEPTHS[0] + equal[0] + np.where(equal[0] == 4, equal[1], 0)
+    return np.where(rows[0, 1:] == rows[0, :-1], deep, 0)
+
+
+_ORDER = ["key", "r1", "r2"]
 _PROFILE = ("doc_id long, n_shingles long, h1 long, h2 long, "
-            + ", ".join(f"{k} array<long>" for k in _KEYS))
+            + ", ".join(f"{k} array<long>" for k in _ORDER))
 
 
 def _long_lists(rows: np.ndarray) -> pa.Array:
@@ -102,19 +127,62 @@ def _long_lists(rows: np.ndarray) -> pa.Array:
 def _profiles(batches):
     for batch in batches:
         n, sums = [], []
-        keys = np.zeros((len(_KEYS), batch.num_rows, TREES), dtype=np.uint64)
+        keys = np.zeros((len(_ORDER), batch.num_rows, TREES), dtype=np.uint64)
         for i, words in enumerate(word_hashes(batch.column(1))):
             s = shingle_set(words)
             n.append(len(s))
             sums.append((s.sum(dtype=np.uint64), mix(s + np.uint64(7)).sum(dtype=np.uint64)))
             if len(s):
-                keys[:, i] = prefix_keys(signature(s))
+                keys[:, i] = order_rows(signature(s))
         sums = np.array(sums, dtype=np.uint64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(n, pa.int64()),
              pa.array(sums[:, 0].copy().view(np.int64)), pa.array(sums[:, 1].copy().view(np.int64)),
              *map(_long_lists, keys)],
-            names=["doc_id", "n_shingles", "h1", "h2", *_KEYS])
+            names=["doc_id", "n_shingles", "h1", "h2", *_ORDER])
+
+
+_KEYS = [f"k{d}" for d in DEPTHS]
+_NEAR = ("node long, n long, " + ", ".join(f"{k} long" for k in _KEYS) + ", before long, before_n long, depth long")
+
+
+def _neighbours(batches):
+    """Of sorted rows (node, n, key, r1, r2) those that share a prefix with a row beside them.
+
+    Each comes with the keys of the runs that it shares with such a row, and with the row before it.  The first and
+    last row of a partition may have neighbours in another one, so they keep all their keys.
+    """
+
+    def kept(rows, depth_before, depth_after, before):
+        deepest = np.maximum(depth_before, depth_after)
+        keep = deepest >= DEPTHS[0]
+        keys = run_keys(rows[2:, keep]).view(np.int64)
+        columns = [pa.array(rows[i, keep].view(np.int64)) for i in (0, 1)]
+        columns += [pa.array(k, mask=deepest[keep] < d) for k, d in zip(keys, DEPTHS)]
+        alone = depth_before[keep] < DEPTHS[0]
+        columns += [pa.array(before[i, keep].view(np.int64), mask=alone) for i in (0, 1)]
+        columns.append(pa.array(np.where(alone, 0, depth_before[keep])))
+        return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in _NEAR.split(", ")])
+
+    held = None  # the last row so far, which waits for the next: (row, depth shared with the one before, that one)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(5)])
+        first = held is None
+        if not first:
+            rows = np.concatenate([held[0], rows], axis=1)
+        depths = common_depths(rows[2:])
+        # The first row of a partition counts as sharing all with what may stand before it, but has no row there.
+        ahead = np.concatenate([[0] if first else [held[1]], depths])
+        before = np.concatenate([rows[:2, :1] if first else held[2], rows[:2, :-1]], axis=1)
+        shown = np.concatenate([depths, [0]])
+        if first or held[3]:
+            shown[0] = DEPTHS[-1]
+        held = rows[:, -1:], ahead[-1], before[:, -1:], first and rows.shape[1] == 1
+        yield kept(rows[:, :-1], ahead[:-1], shown[:-1], before[:, :-1])
+    if held is not None:
+        yield kept(held[0], np.array([held[1]]), np.array([DEPTHS[-1]]), held[2])
 
 
 def _sets(batches):
@@ -169,6 +237,16 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .select("a", "b"))
 
 
+def _deepest(orders: DataFrame) -> DataFrame:
+    """Step 1: for each node the neighbour, in all sorted orders, with the deepest common prefixes in sum."""
+    near, far = _similar_sizes("n", "before_n")
+    met = orders.where("depth > 0 and node != before").where(near & far).groupBy("node", "before") \
+        .agg(F.sum("depth").alias("depth"))
+    both = met.unionByName(met.select(F.col("before").alias("node"), F.col("node").alias("before"), "depth"))
+    return (both.groupBy("node").agg(F.max(F.struct("depth", -F.col("before"))).alias("best"))
+            .select(F.col("node").alias("a"), (-F.col("best.col2")).alias("b")))
+
+
 def _heads(runs: DataFrame) -> DataFrame:
     """Step 1: for each node the head that it shares most runs with."""
     head = runs.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"))
@@ -285,16 +363,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     has_set = "n_shingles > 0 and doc_id is not null"
     classes_nodes = materialize(ids.where(has_set).groupBy(*classes).agg(F.min("doc_id").alias("node")), "dedup-nodes")
     keys = profiles.where(has_set).groupBy(*classes).agg(
-        F.min("doc_id").alias("node"), *(F.any_value(k).alias(k) for k in _KEYS))
-    # One row for each node, order and depth; the keys of the least depth come first.
-    forest = keys.select("node", F.col("n_shingles").alias("n"), F.posexplode(F.concat(*_KEYS)).alias("at", "key")) \
-        .select("node", "n", "key", (F.col("at") < TREES).alias("shallow"))
-    # A key that one node alone has leads nowhere.
-    shared = forest.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    runs = steps.write(forest.join(shared, "key", "left_semi"), "dedup-runs")
+        F.min("doc_id").alias("node"), *(F.any_value(k).alias(k) for k in _ORDER))
+    # One row for each node and order.  The node is a part of the sort, so a region of equal labels can be split.
+    rows = keys.select("node", F.col("n_shingles").alias("n"), F.inline(F.arrays_zip(*_ORDER)))
+    orders = steps.write(rows.repartitionByRange(*_ORDER, "node").sortWithinPartitions(*_ORDER, "node")
+                         .mapInArrow(_neighbours, _NEAR), "dedup-orders")
     steps.drop(profiles)
+    # One row for each node and run; a run that one node alone has leads nowhere.
+    depths = F.array(*(F.struct(F.col(k).alias("key"), F.lit(k == _KEYS[0]).alias("shallow")) for k in _KEYS))
+    runs = orders.select("node", "n", F.inline(depths)).where("key is not null")
     sets = steps.write(
-        docs.join(runs.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        docs.join(orders.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
         .mapInArrow(_sets, "node long, shingles array<long>"), "dedup-sets")
 
     def spread() -> DataFrame:
@@ -302,7 +381,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         parts = _with_components(runs, found, "key", "shallow")
         return steps.write(parts.join(_regions(parts, "key"), "key"), "dedup-spread")
 
-    found = connected_components(_verified(_heads(runs), sets), "dedup-cc")
+    found = connected_components(_verified(_heads(runs).unionByName(_deepest(orders)).distinct(), sets), "dedup-cc")
     some = spread()
     found = _contracted(found, _verified(_outsiders(some), sets))
     steps.drop(some)
@@ -312,7 +391,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     crowded = _with_components(some.where(F.col("shallow") & (F.col("minors") > MINORS)).drop("component"), found, "key")
     dense = steps.write(crowded.join(_regions(crowded, "key"), "key", "left_semi").select("node", "n").distinct(),
                         "dedup-dense")
-    steps.drop(runs, some)
+    steps.drop(orders, some)
     if not dense.isEmpty():
         dense_sets = steps.write(sets.join(dense, "node").select("node", "n", "shingles"), "dedup-dense-sets")
         steps.drop(sets)

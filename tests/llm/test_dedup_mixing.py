@@ -213,3 +213,31 @@ def test_mix_odd_rows(spark, odd_documents):
     assert {r.source for r in rows} == {None, "a", "b", "c"}
     assert all(r.taken == 0 for r in rows if r.size == 0)
     assert mixing.mix_sources(odd_documents.limit(0)).count() == 0
+
+
+def test_sorted_orders_give_longest_common_prefixes():
+    """Neighbours and runs of sorted rows, streamed in batches of any size, against a plain comparison of labels."""
+    rng = np.random.default_rng(5)
+    sigs = rng.integers(0, 2, size=(300, near_dedup.TREES, near_dedup.DEPTHS[-1]), dtype=np.uint32)
+    sigs[200:, :, 4:] = 1
+    rows = [(int(k), int(a), int(b), i, t) for i, s in enumerate(sigs)
+            for t, (k, a, b) in enumerate(near_dedup.order_rows(s).T.view(np.int64))]
+    rows.sort()
+    shared = lambda x, y: x[4] == y[4] and next(
+        (d for d in range(12) if sigs[x[3], x[4], d] != sigs[y[3], y[4], d]), 12) or 0
+    depth = [d if d >= 4 else 0 for d in map(shared, rows[1:], rows)]
+    keys = {i: near_dedup.prefix_keys(s).view(np.int64) for i, s in enumerate(sigs)}
+    want = []
+    for i, (*_, node, tree) in enumerate(rows):
+        before, after = (depth[i - 1] if i else 0), (depth[i] if i + 1 < len(rows) else 12)
+        deepest = 12 if i == 0 else max(before, after)
+        if deepest >= 4:
+            want.append((node, 9, *(int(k) if deepest >= d else None for k, d in zip(keys[node][:, tree], near_dedup.DEPTHS)),
+                         rows[i - 1][3] if before else None, 9 if before else None, before))
+    for size in (1, 7, 5000, len(rows)):
+        batches = [pa.RecordBatch.from_arrays(
+            [pa.array(c, pa.int64()) for c in zip(*((r[3], 9, *r[:3]) for r in rows[at:at + size]))],
+            names=["node", "n", "key", "r1", "r2"]) for at in range(0, len(rows), size)]
+        got = [tuple(r.values()) for b in near_dedup._neighbours(batches) for r in b.to_pylist()]
+        assert got == want
+    assert list(near_dedup._neighbours([])) == []
