@@ -81,6 +81,27 @@ SELECT anchor AS anchor_id, positive AS positive_id, CAST(rank AS INTEGER) AS ra
 FROM n WHERE rank <= 3
 """
 
+#: Operator 9: a turn is escaped if it holds a control string or ends with a backslash.
+CHAT = r"""
+WITH t AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, '') AS role,
+         coalesce(text, '') AS text
+  FROM (SELECT conv_id, turn, role, text FROM conversations
+        UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))
+), f AS (
+  SELECT *, length(regexp_replace(role, '([\\:\n])', '\\\1', 'g')) + length(
+    regexp_replace(regexp_replace(text, '(\\*)(### |</turn>)', '\1\1\\\2', 'g'), '(\\+)\z', '\1\1')) + 14 AS chars
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+         AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": WARC, "op12_lexical": LEXICAL, "op13_negatives": NEGATIVES}
+    return {"op6_warc": WARC, "op9_chat": CHAT, "op12_lexical": LEXICAL, "op13_negatives": NEGATIVES}
