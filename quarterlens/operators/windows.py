@@ -7,8 +7,12 @@ under a NULL id) may still hold a large share of a table.
 
 The rows of a key are ordered by ``t`` (NULLs last), then by a hash slice of
 the ``tie`` columns, then by those columns and the value: a total order up to
-rows that agree in all of them.  ``previous_value`` and ``next_value`` cut it
-into buckets, one per (``t``, slice):
+rows that agree in all of them.  A map-side combined count per key names the
+hot keys, those of more than ``HOT_ROWS`` rows; there are at most rows /
+``HOT_ROWS`` of them, so they are broadcast.  ``previous_value`` and
+``next_value`` take the plain window over the rows of all other keys, which
+is one shuffle of them, and cut the rows of the hot keys into buckets, one
+per (``t``, slice):
 
 1. the window runs per (key, t, slice) -- neither a hot key nor a hot
    key and month stays together;
@@ -16,8 +20,13 @@ into buckets, one per (``t``, slice):
    hand over -- one row per bucket;
 3. a window over that table, bounded by distinct ``t`` times ``SLICES`` rows
    per key, hands each bucket the neighbouring bucket's value;
-4. it is joined back null-safely -- the window's side is already partitioned
-   that way -- and the first row of each bucket takes the handed-over value.
+4. it is joined back null-safely, and the first row of each bucket takes the
+   handed-over value.
+
+The rows are read once to count and once to shift them (and twice more if
+there are hot keys).  They are dealt anew before the plain window: an input
+that was partitioned by the key while it had fewer rows (a log before its
+months are exploded) would otherwise be sorted in tasks sized for that.
 
 The result equals the plain window row for row (``bucket=False``, the right
 choice when the rows per key are bounded by construction: one shuffle, or none
@@ -32,9 +41,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICES = 64
+#: A key with more rows than this is cut into buckets.
+HOT_ROWS = 100_000
 _SLICE = "__slice"
 _EDGE = "__edge"
 _NEIGHBOUR = "__neighbour"
+_HOT = "__hot"
+_HASH = "__hash"
 
 
 def _shift(df: DataFrame, key: str, order_col: str, value_col: str, out_col: str,
@@ -46,13 +59,22 @@ def _shift(df: DataFrame, key: str, order_col: str, value_col: str, out_col: str
         by_time, by = F.col(order_col).asc_nulls_last(), lambda c: F.col(c).asc_nulls_last()
     else:
         by_time, by = F.col(order_col).desc_nulls_first(), lambda c: F.col(c).desc_nulls_first()
-    withs = df.withColumn(_SLICE, sliced)
     inside = [by(c) for c in dict.fromkeys([*tie, value_col]) if c != order_col]
+
+    def plain(rows: DataFrame, *by_hash: str) -> DataFrame:
+        w = Window.partitionBy(*by_hash, key).orderBy(by_time, by(_SLICE), *inside)
+        return rows.withColumn(_SLICE, sliced).withColumn(out_col, F.lag(value_col).over(w)).drop(_SLICE, *by_hash)
+
     if not bucket:
-        w = Window.partitionBy(key).orderBy(by_time, by(_SLICE), *inside)
-        return withs.withColumn(out_col, F.lag(value_col).over(w)).drop(_SLICE)
+        return plain(df)
+    counts = df.groupBy(F.col(key).alias(_HOT)).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = F.broadcast(counts.where(F.col("__rows") > HOT_ROWS).select(_HOT))
+    is_hot = F.col(key).eqNullSafe(F.col(_HOT))
+    # By a hash of the key: by the key itself, Spark would leave out the shuffle where the input has that partitioning.
+    cold = plain(df.join(hot, is_hot, "left_anti").withColumn(_HASH, F.hash(key)).repartition(_HASH), _HASH)
     # The bucket's last row in walking order: the greatest (least) of its order
     # columns, a NULL counting as greater than any value.
+    withs = df.join(hot, is_hot, "left_semi").withColumn(_SLICE, sliced)
     rank = F.struct(*[x for c in dict.fromkeys([*tie, value_col]) if c != order_col
                       for x in (F.col(c).isNull(), F.col(c))] or [F.lit(0)])
     pick = F.max_by if backwards else F.min_by
@@ -66,9 +88,9 @@ def _shift(df: DataFrame, key: str, order_col: str, value_col: str, out_col: str
              .withColumn(_EDGE, F.row_number().over(w) == 1))
     joined = inner.join(handoff, F.col(key).eqNullSafe(F.col("__k"))
                         & F.col(order_col).eqNullSafe(F.col("__t")) & (F.col(_SLICE) == F.col("__s")), "left")
-    return joined.select(
+    return cold.unionByName(joined.select(
         *df.columns,
-        F.when(F.col(_EDGE), F.col(_NEIGHBOUR)).otherwise(F.col(out_col)).alias(out_col))
+        F.when(F.col(_EDGE), F.col(_NEIGHBOUR)).otherwise(F.col(out_col)).alias(out_col)))
 
 
 def previous_value(df: DataFrame, key: str, order_col: str, value_col: str, out_col: str,
