@@ -45,9 +45,9 @@ def _nrr_matrix(m: RevenueModel) -> DataFrame:
 # --- sources and sinks: the fixture written, read back and used ---------------
 
 def bronze_csv_waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1: the bronze tables as CSV files, read back by name and type, give the waterfall."""
+    """S1: the bronze tables as (gzipped) CSV files, read back by name and type, give the waterfall."""
     root = scratch_folder(spark, "bronze-csv")
-    bronze.write_bronze_tables(driver.read_bronze(spark, sf_dir), root, "csv")
+    bronze.write_bronze_tables(driver.read_bronze(spark, sf_dir), root, "csv", {"compression": "gzip"})
     return RevenueModel.from_bronze(spark, root, "csv").waterfall
 
 

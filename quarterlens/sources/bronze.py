@@ -154,8 +154,14 @@ def read_bronze_tables(spark: SparkSession, location: str, fmt: str = "parquet",
             for name in BRONZE_SCHEMAS}
 
 
-def write_bronze_tables(bronze: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> None:
-    """Write the four tables below ``root`` (full overwrite); csv with a header."""
+def write_bronze_tables(bronze: Mapping[str, DataFrame], root: str, fmt: str = "parquet",
+                        options: Mapping[str, str] | None = None) -> None:
+    """Write the four tables below ``root`` (full overwrite); csv with a header.
+
+    ``options`` go to the writer.  With ``{"compression": "gzip"}`` the text
+    formats take a fraction of the space and are read back as they are; such a
+    file is read by one task, so there are as many as tasks have written.
+    """
     for name in BRONZE_SCHEMAS:
-        _declared(bronze[name], name).write.mode("overwrite").format(fmt).option("header", "true") \
-            .save(f"{root.rstrip('/')}/{name}")
+        _declared(bronze[name], name).write.mode("overwrite").format(fmt) \
+            .options(**{"header": "true", **(options or {})}).save(f"{root.rstrip('/')}/{name}")

@@ -407,3 +407,13 @@ def test_interval_plans_expand_no_customer_months(spark):
         plan = queries()[key](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
         assert "first_month" not in plan.split("sequence(")[-1][:200]
         assert "Some(1 months)" not in plan and "INTERVAL '1' MONTH" not in plan
+
+
+def test_csv_bronze_is_written_compressed_and_reads_back(spark, tmp_path, monkeypatch):
+    from quarterlens.plans import registry
+
+    monkeypatch.setattr(registry, "scratch_folder", lambda spark, tag: str(tmp_path / tag))
+    rows = registry.bronze_csv_waterfall(spark, SF).collect()
+    assert sorted(rows) == sorted(registry.queries()["waterfall"](spark, SF).collect())
+    written = {n: [f for f in os.listdir(tmp_path / "bronze-csv" / n) if f.startswith("part-")] for n in bronze.BRONZE_SCHEMAS}
+    assert all(written.values()) and all(f.endswith(".csv.gz") for fs in written.values() for f in fs)
