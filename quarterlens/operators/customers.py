@@ -15,12 +15,17 @@ def customer_activity(subs: DataFrame) -> DataFrame:
     tiers included).  current_status is the status of the latest month, where
     a row without a month counts as the latest (the warehouse ranks by month
     descending, which puts NULLs first) and the greater status wins a tie.
-    Both are partial aggregates, so a customer with very many rows is combined
-    map-side.
+    Rows are first combined map-side per customer and status, in buffers of
+    fixed width (a hash aggregate, which holds a row per group; one over
+    statuses would sort all rows of a task), then those few per customer.
     """
-    return subs.groupBy("customer_id").agg(
-        F.min("month").alias("first_active_month"),
-        F.max_by("status", F.struct(F.col("month").isNull(), "month", "status")).alias("current_status"),
+    per_status = subs.groupBy("customer_id", "status").agg(
+        F.min("month").alias("first"), F.max("month").alias("last"),
+        F.max(F.col("month").isNull()).alias("undated"))
+    latest = F.struct("undated", F.when(~F.col("undated"), F.col("last")), "status")
+    return per_status.groupBy("customer_id").agg(
+        F.min("first").alias("first_active_month"),
+        F.max_by("status", latest).alias("current_status"),
     )
 
 

@@ -50,6 +50,9 @@ ACCEPTED_VALUES = {
     "fct_arr_movements": {"movement_type": MOVEMENT_TYPES},
 }
 
+#: Rows of a table of known size that one task of a uniqueness check groups.
+GROUPS_A_TASK = 1_000_000
+
 RESULT_COLUMNS = ["table_name", "column_name", "check_name", "failures"]
 
 
@@ -68,9 +71,24 @@ def not_null(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _rows(table, "not_null", counts, columns)
 
 
-def unique(table: str, df: DataFrame, column: str) -> DataFrame:
-    dups = (df.where(F.col(column).isNotNull()).groupBy(column).count()
-            .where(F.col("count") > 1))
+def unique(table: str, df: DataFrame, column: str, rows: int | None = None) -> DataFrame:
+    """How many values occur more than once.
+
+    Values that hardly repeat gain nothing from being combined before the
+    shuffle, and a task's groups take many times the bytes it reads.  So the
+    values are dealt by their hash to tasks of ``GROUPS_A_TASK`` of them or,
+    if the number of ``rows`` is not known, to as many tasks as the session
+    has shuffle partitions; copies of one value meet in a task, which only
+    counts them.
+    """
+    given = df.where(F.col(column).isNotNull()).select(F.col(column).alias("value"))
+    if rows is None:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    else:
+        tasks = max(1, -(-rows // GROUPS_A_TASK))
+    # A hash of the value: by the value itself, Spark would group in the tasks of an input that has that partitioning.
+    dealt = given.withColumn("hash", F.hash("value")).repartition(tasks, "hash")
+    dups = dealt.groupBy("hash", "value").count().where(F.col("count") > 1)
     return _rows(table, "unique", dups.agg(F.count(F.lit(1)).alias(column)), [column])
 
 
@@ -92,8 +110,10 @@ def run_not_null(tables: Mapping[str, DataFrame], observed: Mapping[str, Mapping
                    for t, cols in NOT_NULL.items()])
 
 
-def run_unique(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return _union([unique(t, tables[t], c) for t, cols in UNIQUE.items() for c in cols])
+def run_unique(tables: Mapping[str, DataFrame], observed: Mapping[str, Mapping[str, int]] | None = None) -> DataFrame:
+    """The duplicated keys; of tables in ``observed`` the number of rows is known."""
+    observed = observed or {}
+    return _union([unique(t, tables[t], c, observed.get(t, {}).get("rows")) for t, cols in UNIQUE.items() for c in cols])
 
 
 def run_accepted_values(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -138,6 +158,7 @@ def observe_table(table: str, df: DataFrame) -> tuple[DataFrame, Observation | N
                for c, v in ACCEPTED_VALUES.get(table, {}).items()]
     if not counts:
         return df, None
+    counts.append(F.count(F.lit(1)).alias("rows"))
     seen = Observation()  # a name of its own: a build that failed may have left one for the same frame
     return df.observe(seen, *counts), seen
 
@@ -165,7 +186,7 @@ def observed_checks(table: str, df: DataFrame, seen: Mapping[str, int]) -> DataF
     fine = [(table, c, "accepted_values", 0) for c in values if not seen[f"a_{c}"]]
     known = _known_nulls(df.sparkSession, table, seen, fine)
     return _union([known, *(accepted_values(table, df, c, v) for c, v in values.items() if seen[f"a_{c}"]),
-                   *(unique(table, df, c) for c in UNIQUE.get(table, []))])
+                   *(unique(table, df, c, seen.get("rows")) for c in UNIQUE.get(table, []))])
 
 
 def run_all(tables: Mapping[str, DataFrame], observed: Mapping[str, Mapping[str, int]] | None = None) -> DataFrame:

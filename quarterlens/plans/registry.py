@@ -200,7 +200,8 @@ QUERIES: dict[str, Query] = {
     # Over marts written once; the NULLs of those are counted while they are written.
     "dq_not_null": lambda spark, sf_dir: (lambda m: quality.run_not_null(m.dq_tables(), m.observed))(
         _built(spark, sf_dir)),
-    "dq_unique": lambda spark, sf_dir: quality.run_unique(_built(spark, sf_dir).dq_tables()),
+    "dq_unique": lambda spark, sf_dir: (lambda m: quality.run_unique(m.dq_tables(), m.observed))(
+        _built(spark, sf_dir)),
     "dq_accepted_values": _q(lambda m: quality.run_accepted_values(m.dq_tables())),
     "dq_dedup_audit": _q(lambda m: quality.dedup_audit("stg_invoices", m.raw_invoices,
                                                        m.stg_invoices)),

@@ -122,3 +122,29 @@ def test_queries_without_a_calendar_plan_without_a_job(spark):
         assert list(tracker.getJobIdsForGroup(group)) == []
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_unique_deals_groups_by_the_rows_there_are(spark, monkeypatch):
+    monkeypatch.setattr(quality, "GROUPS_A_TASK", 100)
+    ids = [f"S{i % 950}" for i in range(1000)] + [None] * 40 + ["HOT"] * 200
+    df = spark.createDataFrame([(i,) for i in ids], "subscription_id string").repartition(4)
+    for rows in (None, len(ids), 0):
+        assert quality.unique("stg_subscriptions", df, "subscription_id", rows).first().failures == 51
+    # a task's groups are bounded by the number of rows, whatever they take as bytes, also after a group-by on the key
+    for frame, rows, tasks in ((df, 1240, "13"), (df.distinct(), 951, "10"), (df.distinct(), None, "8")):
+        plan = quality.unique("stg_subscriptions", frame, "subscription_id", rows)._jdf.queryExecution().toString()
+        assert f", {tasks}), REPARTITION_BY_NUM" in plan
+
+
+def test_latest_status_holds_a_row_per_group(spark):
+    from quarterlens.operators.customers import customer_activity
+
+    rows = [(1, "2023-02-01", "active"), (1, None, "active"), (1, "2023-09-01", "churned"), (2, "2023-03-01", None),
+            (2, "2023-03-01", "active"), (3, "2023-05-01", "churned"), (3, "2023-05-01", "active"), (None, None, None)]
+    subs = spark.createDataFrame([(c, m and d(m), s) for c, m, s in rows], "customer_id int, month date, status string")
+    got = customer_activity(subs)
+    assert {r.customer_id: (r.first_active_month, r.current_status) for r in got.collect()} == {
+        1: (d("2023-02-01"), "active"), 2: (d("2023-03-01"), "active"), 3: (d("2023-05-01"), "churned"), None: (None, None)}
+    # the rows of a task go into a hash aggregate; only the groups of customer and status are sorted
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.rindex("HashAggregate") > plan.rindex("SortAggregate")
